@@ -8,9 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-
-def _col(c):
-    return F.col(c) if isinstance(c, str) else c
+from tidemark.functions.columns import as_column, bind
 
 
 def _empty() -> Column:
@@ -19,33 +17,32 @@ def _empty() -> Column:
 
 def word_shingles(words: Column, low: int = 2, high: int = 3, separator: str = " ") -> Column:
     """Runs of ``low``..``high`` neighbouring words, shorter runs first."""
-    def of_size(n):
+    def of_size(words, n):
         starts = F.sequence(F.lit(1), F.size(words) - (n - 1))
         runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), separator))
         return F.when(F.size(words) >= n, runs).otherwise(_empty())
 
-    return F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)]))
+    return bind(words, lambda w: F.flatten(F.array(*[of_size(w, n) for n in range(low, high + 1)])))
 
 
 def edge_ngrams(c: Column | str, low: int = 2, high: int = 10) -> Column:
     """Prefixes of ``low``..``high`` characters."""
-    c = _col(c)
-    longest = F.least(F.length(c), F.lit(high))
-    grams = F.transform(F.sequence(F.lit(low), longest), lambda n: F.substring(c, F.lit(1), n))
-    return F.when(longest >= low, grams).otherwise(_empty())
+    def grams(s):
+        longest = F.least(F.length(s), F.lit(high))
+        found = F.transform(F.sequence(F.lit(low), longest), lambda n: F.substring(s, F.lit(1), n))
+        return F.when(longest >= low, found).otherwise(_empty())
+
+    return bind(as_column(c), grams)
 
 
 def char_ngrams(c: Column | str, low: int = 3, high: int = 3) -> Column:
     """All substrings of ``low``..``high`` characters, shorter ones first."""
-    c = _col(c)
-
-    def of_size(n):
-        grams = F.transform(
-            F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, F.lit(n))
-        )
-        return F.when(F.length(c) >= n, grams).otherwise(_empty())
+    def of_size(s, n):
+        starts = F.sequence(F.lit(1), F.length(s) - (n - 1))
+        grams = F.transform(starts, lambda i: F.substring(s, i, F.lit(n)))
+        return F.when(F.length(s) >= n, grams).otherwise(_empty())
 
-    return F.flatten(F.array(*[of_size(n) for n in range(low, high + 1)]))
+    return bind(as_column(c), lambda s: F.flatten(F.array(*[of_size(s, n) for n in range(low, high + 1)])))
 
 
 def grams_of_each(words: Column, gram) -> Column:
@@ -61,7 +58,7 @@ def copy_fields(c: Column | str, targets: dict[str, str]) -> list[Column]:
     """
     from tidemark.functions.tokens import keyword_form, tokens
 
-    c = _col(c)
+    c = as_column(c)
     forms = {
         "exact": lambda: keyword_form(c),
         "aggr": lambda: c,
@@ -76,10 +73,10 @@ def copy_fields(c: Column | str, targets: dict[str, str]) -> list[Column]:
 
 def lift(nested: Column | str, *fields: str) -> list[Column]:
     """Fields of an array of structs as arrays at the top level."""
-    nested = _col(nested)
+    nested = as_column(nested)
     return [nested[f].alias(f) for f in fields]
 
 
 def item_count(items: Column | str) -> Column:
     """Length of an array, 0 where there is none."""
-    return F.coalesce(F.size(_col(items)), F.lit(0))
+    return F.coalesce(F.size(as_column(items)), F.lit(0))

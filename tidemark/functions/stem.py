@@ -8,10 +8,12 @@ single suffix test.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.columns import as_column, bind
+
 # Fixed values of the rules.
 E_MAY_GO_AFTER_NOT = "lrvugctnmsdpbez"  # a final e stays after these letters
 DOUBLE_KEEPS = "s"
@@ -19,11 +21,6 @@ E_AFTER_VOWEL = "sgp"
 E_AFTER_R = "sgv"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind an intermediate value once for use in several places."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _last(c: Column, back: int = 0) -> Column:
     """The character ``back`` places before the last; empty if there is none."""
     size = F.length(c)
@@ -70,7 +67,7 @@ def _drop_final_e(word: Column) -> Column:
         drops = ((m > 1) | ((m == 1) & ~cvc)) & ~keeps
         return F.when(drops, body).otherwise(word)
 
-    return F.when(word.endswith("e"), _let(shape(word), decide)).otherwise(word)
+    return F.when(word.endswith("e"), bind(shape(word), decide)).otherwise(word)
 
 
 def _controlled(word: Column, stemmed: Column, block: Iterable[str], min_len: int) -> Column:
@@ -83,7 +80,7 @@ def _controlled(word: Column, stemmed: Column, block: Iterable[str], min_len: in
 
 def plural_stem(word: Column | str, block: Iterable[str] = (), min_len: int = 1) -> Column:
     """Singular of a lower-case word; blocked and short words are left alone."""
-    word = F.col(word) if isinstance(word, str) else word
+    word = as_column(word)
     before_s = _last(word, 1)
     stemmed = (
         F.when(~word.endswith("s"), word)
@@ -127,11 +124,11 @@ def _repair(base: Column) -> Column:
             .otherwise(base)
         )
 
-    return _let(shape(base), decide)
+    return bind(shape(base), decide)
 
 
 def participle_stem(word: Column | str, block: Iterable[str] = (), min_len: int = 1) -> Column:
     """Base form of an ``-ing`` word; the bare word ``ing`` stays as it is."""
-    word = F.col(word) if isinstance(word, str) else word
+    word = as_column(word)
     stemmed = F.when(word.endswith("ing") & (F.length(word) > 3), _repair(_drop(word, 3))).otherwise(word)
     return _controlled(word, stemmed, block, min_len)

@@ -10,22 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.columns import as_column
+
 WORD = r"[\p{L}\p{N}]+"
 STEM_BIT = 0
 
 
-def _col(c):
-    return F.col(c) if isinstance(c, str) else c
-
-
 def tokens(c: Column | str) -> Column:
     """Lower-case runs of letters and digits, in order."""
-    return F.regexp_extract_all(F.lower(_col(c)), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(F.lower(as_column(c)), F.lit(WORD), F.lit(0))
 
 
 def keyword_form(c: Column | str) -> Column:
     """The whole string as one term: trimmed, lower case."""
-    return F.lower(F.trim(_col(c)))
+    return F.lower(F.trim(as_column(c)))
 
 
 def mark(flags: Column, bit: int = STEM_BIT) -> Column:

@@ -116,7 +116,7 @@ def latest_right_join(spark, folder):
 # base: all orders; changes: late orders, priced up and a day later, and
 # the same orders again under new keys
 CHANGES_SQL = """
-  SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice * 1.1, 2) AS o_totalprice,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 AS o_totalprice,
          o_orderdate + INTERVAL 1 DAY AS o_orderdate, 'changed' AS o_orderpriority
   FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01'
   UNION ALL
@@ -128,7 +128,7 @@ def order_changes(spark, folder):
     late = table(spark, folder, "orders").filter(F.col("o_orderdate") >= day("2000-06-01"))
     priced = late.withColumns(
         {
-            "o_totalprice": F.round(F.col("o_totalprice") * 1.1, 2),
+            "o_totalprice": F.col("o_totalprice") + 1000,
             "o_orderdate": F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"),
             "o_orderpriority": F.lit("changed"),
         }
