@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, functions as F
 
-from tidemark.functions.columns import as_column
+from tidemark.functions.columns import as_column, bind
 
 WORD = r"[\p{L}\p{N}]+"
 STEM_BIT = 0
@@ -40,24 +40,31 @@ def token_stream(words: Column) -> Column:
     return F.transform(words, lambda t, i: _token(i, t, F.lit(0)))
 
 
+def _with_stems(stream: Column, stemmer: Callable[[Column], Column], one: Callable[[Column, Column], Column]) -> Column:
+    """Combine each token with its stem; stems are computed once per token."""
+    def pairs(bound):
+        stems = F.transform(bound["term"], lambda term: stemmer(term))
+        return F.zip_with(bound, stems, lambda t, stem: one(t, stem))
+
+    return bind(stream, pairs)
+
+
 def stem_replace(stream: Column, stemmer: Callable[[Column], Column], bit: int = STEM_BIT) -> Column:
     """Put the stem in place of each token and mark the tokens that changed."""
-    def one(t):
-        stem = stemmer(t["term"])
+    def one(t, stem):
         flags = F.when(stem != t["term"], mark(t["flags"], bit)).otherwise(t["flags"])
         return _token(t["pos"], stem, flags)
 
-    return F.transform(stream, one)
+    return _with_stems(stream, stemmer, one)
 
 
 def stem_augment(stream: Column, stemmer: Callable[[Column], Column], bit: int = STEM_BIT) -> Column:
     """Keep each token and add its stem, marked, at the same position."""
-    def one(t):
-        stem = stemmer(t["term"])
+    def one(t, stem):
         added = _token(t["pos"], stem, mark(t["flags"], bit))
         return F.when(stem != t["term"], F.array(t, added)).otherwise(F.array(t))
 
-    return F.flatten(F.transform(stream, one))
+    return F.flatten(_with_stems(stream, stemmer, one))
 
 
 def recombine(stream: Column, separator: str = " ") -> Column:

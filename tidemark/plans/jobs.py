@@ -19,28 +19,31 @@ STREAMS_GOOD = "various streams in parallel !"
 STREAMS_EMPTY = "no kafka records found ! "
 
 
-def due_reason(now: Column) -> Column:
-    """Why a registry row should run now; NULL when it should not.
+def jobs_due(registry: DataFrame, now: Column) -> DataFrame:
+    """Registry rows to run now, with the reason.  A filter: no shuffle.
 
     Uses the columns ``lastStarted``, ``lastEnded`` (text), ``runFrequency``,
     ``totalRuns`` and ``currentState``.  A run that "ended" a minute or more
     before it started is still running or has failed.
     """
-    started, ended = zero_date_null("lastStarted"), zero_date_null("lastEnded")
-    overdue = minutes_between(started, now) > freq_minutes("runFrequency")
-    unfinished = minutes_between(started, ended) < 0
-    return (
-        F.when(F.col("totalRuns") == 0, F.lit(FIRST_RUN))
-        .when(unfinished & (F.col("currentState") == RUNNING), F.lit(None))
+    timed = registry.withColumns(
+        {"__started": zero_date_null("lastStarted"), "__ended": zero_date_null("lastEnded")}
+    ).withColumns(
+        {
+            "__overdue": minutes_between("__started", now) > freq_minutes("runFrequency"),
+            "__open": minutes_between("__started", "__ended") < 0,
+        }
+    )
+    first, unfinished, overdue = F.col("totalRuns") == 0, F.col("__open"), F.col("__overdue")
+    running = F.col("currentState") == RUNNING
+    reason = (
+        F.when(first, F.lit(FIRST_RUN))
         .when(unfinished & overdue, F.lit(NEXT_NOT_OK))
         .when(unfinished, F.lit(EARLY_NOT_OK))
-        .when(overdue, F.lit(NEXT_OK))
+        .otherwise(F.lit(NEXT_OK))
     )
-
-
-def jobs_due(registry: DataFrame, now: Column) -> DataFrame:
-    """Registry rows to run now, with the reason.  A filter: no shuffle."""
-    return registry.withColumn("reason", due_reason(now)).filter(F.col("reason").isNotNull())
+    due = first | F.when(unfinished, ~running).otherwise(overdue)
+    return timed.filter(due).withColumn("reason", reason).drop("__started", "__ended", "__overdue", "__open")
 
 
 def health_summary(registry: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import grams, tokens
 from tidemark.functions.stem import participle_stem, plural_stem
 from tidemark.queries import query
+from tidemark.session import spread
 from tidemark.sources.files import table
 
 WORDS_SQL = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}]+')"
@@ -69,7 +70,7 @@ def vocabulary(spark, folder):
     texts = table(spark, folder, "documents").select("text").unionByName(
         table(spark, folder, "conversations").select("text")
     )
-    words = texts.select(F.explode(tokens.tokens("text")).alias("term"))
+    words = spread(texts).select(F.explode(tokens.tokens("text")).alias("term"))
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -100,9 +101,12 @@ DOC_STEMS_SQL = f"""WITH toks AS ({DOC_TOKENS_SQL}),
   marked AS (SELECT t.doc_id, t.pos, t.term, s.stem FROM toks t JOIN stems s ON t.term = s.term)"""
 
 
+def documents(spark, folder):
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def doc_stream(spark, folder):
-    words = tokens.tokens("text")
-    return table(spark, folder, "documents").select("doc_id", tokens.token_stream(words).alias("stream"))
+    return documents(spark, folder).select("doc_id", tokens.token_stream(tokens.tokens("text")).alias("stream"))
 
 
 def flagged(stream):
@@ -112,11 +116,11 @@ def flagged(stream):
 @query(
     "stem_replace",
     f"""{DOC_STEMS_SQL} SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS stemmed,
-          count(*) FILTER (stem <> term)::INTEGER AS changed FROM marked GROUP BY 1""",
+          count(*) FILTER (stem <> term)::INTEGER AS changed FROM documents LEFT JOIN marked USING (doc_id) GROUP BY 1""",
 )
 def stem_replace(spark, folder):
     stemmed = doc_stream(spark, folder).withColumn("stream", tokens.stem_replace(F.col("stream"), plural_stem))
-    return stemmed.filter(F.size("stream") > 0).select(
+    return stemmed.select(
         "doc_id", tokens.recombine(F.col("stream")).alias("stemmed"), flagged(F.col("stream")).alias("changed")
     )
 
@@ -125,14 +129,14 @@ def stem_replace(spark, folder):
     "stem_augment",
     f"""{DOC_STEMS_SQL} SELECT doc_id,
           string_agg(CASE WHEN stem <> term THEN term || ' ' || stem ELSE term END, ' ' ORDER BY pos) AS augmented,
-          (count(*) + count(*) FILTER (stem <> term))::INTEGER AS tokens, max(pos)::INTEGER AS positions
-        FROM marked GROUP BY 1""",
+          (count(term) + count(*) FILTER (stem <> term))::INTEGER AS tokens, max(pos)::INTEGER AS positions
+        FROM documents LEFT JOIN marked USING (doc_id) GROUP BY 1""",
 )
 def stem_augment(spark, folder):
     stream = F.col("stream")
     added = doc_stream(spark, folder).withColumn("stream", tokens.stem_augment(stream, plural_stem))
-    last = F.element_at(stream, -1)["pos"] + 1
-    return added.filter(F.size("stream") > 0).select(
+    last = F.get(stream, F.size(stream) - 1)["pos"] + 1
+    return added.select(
         "doc_id", tokens.recombine(stream).alias("augmented"), F.size(stream).alias("tokens"), last.alias("positions")
     )
 
@@ -160,7 +164,7 @@ def token_flags(spark, folder):
 
     stream = F.transform(F.col("stream"), long_words)
     marked = doc_stream(spark, folder).select(tokens.stem_replace(stream, plural_stem).alias("stream"))
-    flags = marked.select(F.explode("stream").alias("t")).select(F.col("t.flags").alias("flags"))
+    flags = marked.select(F.explode(F.col("stream")["flags"]).alias("flags"))
     return flags.groupBy("flags").agg(F.count(F.lit(1)).alias("tokens"))
 
 
@@ -168,11 +172,11 @@ def token_flags(spark, folder):
     "participle_replace",
     f"""WITH toks AS ({DOC_TOKENS_SQL}), vocab AS (SELECT term, count(*) AS n FROM toks GROUP BY 1), {PARTICIPLE_SQL}
         SELECT doc_id, string_agg(stem, ' ' ORDER BY pos) AS stemmed
-        FROM toks t JOIN stems s ON t.term = s.term GROUP BY 1""",
+        FROM documents LEFT JOIN toks t USING (doc_id) LEFT JOIN stems s ON t.term = s.term GROUP BY 1""",
 )
 def participle_replace(spark, folder):
     stemmed = doc_stream(spark, folder).withColumn("stream", tokens.stem_replace(F.col("stream"), participle_stem))
-    return stemmed.filter(F.size("stream") > 0).select("doc_id", tokens.recombine(F.col("stream")).alias("stemmed"))
+    return stemmed.select("doc_id", tokens.recombine(F.col("stream")).alias("stemmed"))
 
 
 @query("recombine", f"SELECT doc_id, nullif(array_to_string({DOC_WORDS}, '_'), '') AS joined FROM documents")
@@ -187,7 +191,7 @@ def recombine(spark, folder):
 )
 def token_counts(spark, folder):
     """Term and document frequency: counted per row first, so one shuffle serves both."""
-    words = table(spark, folder, "documents").select("doc_id", F.explode(tokens.tokens("text")).alias("term"))
+    words = documents(spark, folder).select("doc_id", F.explode(tokens.tokens("text")).alias("term"))
     per_doc = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("k"))
     return per_doc.groupBy("term").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("docs"))
 
@@ -246,7 +250,7 @@ def shingles_nospace(spark, folder):
 )
 def doc_shingles(spark, folder):
     shingled = joined(grams.word_shingles(F.col("w")))
-    return table(spark, folder, "documents").select("doc_id", tokens.tokens("text").alias("w")).select(
+    return documents(spark, folder).select("doc_id", tokens.tokens("text").alias("w")).select(
         "doc_id", F.md5(shingled.cast("binary")).alias("digest")
     )
 

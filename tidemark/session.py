@@ -80,3 +80,17 @@ def broadcast_limit(spark: SparkSession) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """True when the estimated size is within the session's broadcast limit."""
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a small input.
+
+    A Parquet row group is one task, so a small file would keep one core busy.
+    Only inputs of less than a quarter split per core are redistributed; with
+    more there are tasks enough and no shuffle is added.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if estimated_bytes(df) < cores * (128 << 20) / 4:
+        return df.repartition(cores)
+    return df
