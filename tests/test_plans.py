@@ -1,0 +1,417 @@
+"""Lake tables, sync, control tables, delta job, export, delivery, reports."""
+
+import glob
+import gzip
+import hashlib
+import os
+from datetime import datetime
+from urllib.parse import unquote
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import clean
+from tidemark.functions.buckets import md5_bucket
+from tidemark.operators.latest import latest_per_key
+from tidemark.plans import control as ctl, delivery, delta_job as job, jobs
+from tidemark.plans.export import Export
+from tidemark.plans.lake import LakeTable
+from tidemark.plans.reports import SavedReport, order_report
+from tidemark.plans.sync import FrameSource, bookmark_between, sync_table
+from tidemark.session import scratch_path
+from tidemark.specs import StreamSpec, TableSpec
+
+SCHEMA = "k string, d int, v string"
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def lake(path, n=4):
+    return LakeTable(str(path), ("k",), md5_bucket("k", n).cast("string"), "d")
+
+
+def files(path):
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/partition=*/*.parquet")}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    table = lake(tmp_path / "t", 8)
+    base = spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"), F.lit("old").alias("v"))
+    table.upsert(base)
+    before = files(tmp_path / "t")
+    table.upsert(spark.createDataFrame([("7", 2, "new"), ("7", 3, "newer")], SCHEMA))
+    after = files(tmp_path / "t")
+    changed = {f.split("partition=")[1].split("/")[0] for f in set(before) ^ set(after)}
+    assert len(changed) == 1
+    found = table.read(spark)
+    assert found.count() == 200
+    assert [tuple(r)[:3] for r in found.filter("k = '7'").collect()] == [("7", 3, "newer")]
+
+
+def test_upsert_replays_and_empty_batches_change_nothing(spark, tmp_path):
+    table = lake(tmp_path / "t")
+    changes = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), (None, 3, "z")], SCHEMA)
+    table.upsert(changes)
+    once = rows_of(table.read(spark))
+    table.upsert(changes)
+    table.upsert(changes.limit(0))
+    assert rows_of(table.read(spark)) == once
+    assert len(once) == 3
+
+
+def test_empty_first_batch_leaves_no_table(spark, tmp_path):
+    table = lake(tmp_path / "t")
+    table.upsert(spark.createDataFrame([], SCHEMA))
+    assert not table.exists(spark)
+
+
+def test_bucket_names_stay_text(spark, tmp_path):
+    table = LakeTable(str(tmp_path / "t"), ("k",), F.col("v"), "d")
+    table.upsert(spark.createDataFrame([("a", 1, "007"), ("b", 1, "1e5")], SCHEMA))
+    table.upsert(spark.createDataFrame([("c", 1, "007")], SCHEMA))
+    assert {r["partition"] for r in table.read(spark).collect()} == {"007", "1e5"}
+    assert table.read(spark).count() == 3
+
+
+def test_many_touched_buckets_use_a_join(spark, tmp_path, monkeypatch):
+    from tidemark.plans import lake as module
+
+    monkeypatch.setattr(module, "STATIC_BUCKETS", 1)
+    table = lake(tmp_path / "t")
+    base = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"), F.lit("old").alias("v"))
+    table.upsert(base)
+    table.upsert(base.withColumn("v", F.lit("new")))
+    assert table.read(spark).filter("v = 'new'").count() == 50
+
+
+def test_upsert_prunes_buckets_and_keeps_partition_filter(spark, tmp_path, plan_of):
+    table = lake(tmp_path / "t", 8)
+    base = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"), F.lit("old").alias("v"))
+    table.upsert(base)
+    staged = table.stage(spark.createDataFrame([("7", 2, "new")], SCHEMA))
+    plan = plan_of(table.touched(spark, staged))
+    assert "PartitionFilters: [" in plan and "partition" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_merge_table(spark, tmp_path):
+    table = LakeTable(str(tmp_path / "t"), ("k",), md5_bucket("k", 4).cast("string"), "d")
+    table.merge(spark.createDataFrame([("a", 1, "first"), ("b", 1, "first")], SCHEMA))
+    table.merge(spark.createDataFrame([("a", 2, "second"), ("a", 3, "third"), ("c", 1, "new")], SCHEMA), ["v"])
+    assert rows_of(table.read(spark).select("k", "d", "v")) == [("a", 3, "first"), ("b", 1, "first"), ("c", 1, "new")]
+
+
+SPEC = TableSpec(db="db", table="t", alias="al", bookmark="d", primaryKey="k", fullTableSchema="k,d,v", numOfPartitions="4")
+
+
+def test_sync_runs(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    target = str(tmp_path / "t")
+
+    def run(rows):
+        return sync_table(FrameSource(spark.createDataFrame(rows, SCHEMA), SPEC), SPEC, store, target)
+
+    def table():
+        return rows_of(spark.read.parquet(target).select("k", "d", "v"))
+
+    rows = [("a", 9, "x"), ("b", 10, "y")]
+    assert run(rows) == 2
+    assert store.bookmark(SPEC.key) == "10"
+    # the boundary row is read again and changes nothing
+    assert run(rows) == 1
+    assert table() == [("a", "9", "x"), ("b", "10", "y")]
+    # several versions of a key: bookmarks compare as numbers although stored as text
+    assert run(rows + [("a", 100, "new"), ("a", 11, "older"), ("c", 12, "c")]) == 4
+    assert table() == [("a", "100", "new"), ("b", "10", "y"), ("c", "12", "c")]
+    counters = ctl.run_counters(store.read("run_log"), ["dbtable"]).first()
+    assert (counters["totalRuns"], counters["successRuns"], counters["failureRuns"]) == (3, 3, 0)
+
+
+def test_failed_sync_keeps_the_bookmark(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    store.append("types", [(SPEC.qualified, "v", "string", "int")])
+    spec = TableSpec(**{**SPEC.__dict__, "treatment": "fail"})
+    source = FrameSource(spark.createDataFrame([("a", 1, "not a number")], SCHEMA), spec)
+    with pytest.raises(Exception, match="cannot convert"):
+        sync_table(source, spec, store, str(tmp_path / "t"))
+    assert store.bookmark(spec.key) == "0"
+    last = store.read("run_log").orderBy(F.desc("id")).first()
+    assert last["notes"] == ctl.FAILED and last["exceptions"].isalpha()
+
+
+def test_bookmarks_and_overrides(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    assert store.bookmark("x") == "0" and store.overrides("t") == {}
+    store.save_bookmark("x", "5")
+    store.save_bookmark("x", "3")
+    store.save_bookmark("y", "9")
+    assert store.bookmark("x") == "3"
+    newest = ctl.top_rows(store.read("bookmarks"), "id").collect()
+    assert [r["bookmark"] for r in newest] == ["9", "3"]
+
+
+def test_bookmark_filter_reaches_the_scan(spark, sf, plan_of):
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    picked = orders.filter(bookmark_between(orders, "o_orderdate", "1996-01-01 00:00:00", "1997-01-01 00:00:00"))
+    plan = plan_of(picked.select("o_orderkey"))
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThanOrEqual(o_orde" in pushed
+    assert "o_totalprice" not in plan
+    first = orders.filter(bookmark_between(orders, "o_orderdate", "0", "1997-01-01 00:00:00"))
+    assert first.count() == orders.filter("o_orderdate <= '1997-01-01'").count()
+
+
+def test_table_record_round_trip():
+    record = (
+        "{'host':'h','port':'1','user':'u','password':'p','db':'d','table':'t','alias':'a','bookmark':'b',"
+        "'primaryKey':'k','conntype':'c','fullTableSchema':'k, b','numOfPartitions':'16','toDruid':true,"
+        "'druidMetrics':'','druidDims':'','runFrequency':'1 day','treatment':'skip'}"
+    )
+    spec = TableSpec.from_json(record)
+    assert (spec.key, spec.qualified, spec.columns, spec.buckets, spec.toDruid) == ("d_t", "a_d_t", ["k", "b"], 16, True)
+    stream = StreamSpec.from_json("{'topic':'b,a,b','alias':'x','bookmark':'ts','primaryKey':'id','partitionCol':''}")
+    assert stream.topics == ["a", "b"] and stream.partition_source == "ts"
+
+
+# delta job ---------------------------------------------------------------
+
+PLAIN = [s for _, r, s in job.document_rules() if r == "plain" and not s.startswith("Q")]
+TEXT = [s for _, r, s in job.document_rules() if r in ("clean", "slug")]
+
+
+def flat_rows(spark, keys):
+    """Flat source rows with every column the document needs."""
+    inputs = {s for s in [*PLAIN, *TEXT, "yladd", "ylbdnam", "ylsloc"]}
+    inputs -= {"RowID", "CitySynonyms", "CompanyAliases", "AdvertiserURL"}
+    base = spark.createDataFrame(
+        keys, "yusrid int, intgen1 int, batvypid int, ypcat3id int, batvycoid int, ccty string, upddate timestamp,"
+        " ypbusinessid string, rown int"
+    )
+    rest = sorted(inputs - set(base.columns))
+    texts = [F.concat(F.lit(f" {c}\t\""), F.col("yusrid").cast("string")).alias(c) for c in rest]
+    return base.select("*", *texts)
+
+
+def dimension_tables(spark):
+    make = spark.createDataFrame
+    return {
+        "category3": make([(1, 10), (2, 20), (3, None)], "cat3_id int, Additionalinfotemplate_id int"),
+        "AdditionalInfoTemplate": make(
+            [(100, 10), (101, 10), (200, 20)], "AdditionalInfoTemplate_id int, AdditionalInfoTemplate_id_new int"
+        ),
+        "TemplateFields": make(
+            [(100, 1, "Colour"), (101, 1, "Size"), (100, 20, "Last"), (200, 2, "Fuel"), (200, 99, "beyond")],
+            "AdditionalInfoTemplate_id int, Col_id int, Label string",
+        ),
+        "BusinessInfo": make([(1, 1), (1, 2), (2, 3)], "business_id int, user_id int"),
+        "users": make([(1, 1), (2, 2), (3, None)], "user_id int, Master_id int"),
+        "DMSMaster": make([(1, "Syn\tA"), (2, "Syn A")], "Master_Id int, CompanySynonym string"),
+        "companylocation": make([(5, 1, "www"), (5, 1, "www ")], "id int, user_id int, website string"),
+        "City": make([("Delhi", "Dilli"), ("Pune", ""), ("Pune", None)], "city string, Synonyms string"),
+    }
+
+
+def joined_then_pivoted(rows, ids, t):
+    """The document by the long way: join everything, then group and pivot."""
+    a = rows.join(ids.select("RowID", "yusrid", "intgen1"), ["yusrid", "intgen1"])
+    b = t["category3"].select(F.col("cat3_id"), F.col("Additionalinfotemplate_id").alias("b_t"))
+    c = t["AdditionalInfoTemplate"].select(
+        F.col("AdditionalInfoTemplate_id").alias("c_t"), F.col("AdditionalInfoTemplate_id_new").alias("c_new")
+    )
+    d = t["TemplateFields"].select(F.col("AdditionalInfoTemplate_id").alias("d_t"), "Col_id", "Label")
+    m = t["DMSMaster"].select(F.col("Master_Id").alias("m_id"), "CompanySynonym")
+    u = t["users"].select(F.col("user_id").alias("u_id"), F.col("Master_id").alias("u_m"))
+    e = t["BusinessInfo"].select("business_id", F.col("user_id").alias("e_u"))
+    h = t["companylocation"].select(F.col("id").alias("h_id"), F.col("user_id").alias("h_u"), "website")
+    i = t["City"].select(F.col("city").alias("i_c"), "Synonyms")
+    j = (
+        a.join(b, F.col("ypcat3id") == F.col("cat3_id"), "left")
+        .join(c, F.col("b_t") == F.col("c_new"), "left")
+        .join(d, F.col("c_t") == F.col("d_t"), "left")
+        .join(e, F.col("batvycoid") == F.col("business_id"), "left")
+        .join(u, F.col("e_u") == F.col("u_id"), "left")
+        .join(m, F.col("u_m") == F.col("m_id"), "left")
+        .join(h, (F.col("intgen1") == F.col("h_id")) & (F.col("yusrid") == F.col("h_u")), "left")
+        .join(i, (F.col("ccty") == F.col("i_c")) & (F.coalesce("Synonyms", F.lit("")) != ""), "left")
+        .withColumn("CompanyAliases", clean.clean_string("CompanySynonym"))
+        .withColumn("AdvertiserURL", clean.clean_string("website"))
+        .withColumn("CitySynonyms", clean.clean_string("Synonyms"))
+    )
+    rules = [r for r in job.document_rules() if not r[2].startswith("Q")]
+    inner = j.select(*job.document_columns(rules), "Label", "Col_id")
+    keys = [c for c in inner.columns if c not in ("Label", "Col_id")]
+    wide = inner.groupBy(*keys).pivot("Col_id", job.LABEL_IDS).agg(F.max("Label"))
+    return wide.select(*keys, *[F.col(f"`{n}`").alias(f"Q{n}") for n in job.LABEL_IDS])
+
+
+def day(n):
+    return datetime(2016, 1, n)
+
+
+def sample_rows(spark):
+    return flat_rows(
+        spark,
+        [
+            (1, 5, 1, 1, 1, "Delhi", day(1), "b1", 1),
+            (1, 5, 2, 2, 2, "Pune", day(2), "b2", 2),
+            (2, 6, 1, 3, 9, None, day(3), "b3", 3),
+            (3, 7, 1, 9, None, "Agra", day(4), "b4", 4),
+        ],
+    )
+
+
+def test_document_has_99_columns():
+    names = [n for n, _, _ in job.document_rules()]
+    assert len(names) == len(set(names)) == 99
+    assert names[:3] == ["RowID", "UniqueID", "ULID"] and names[-1] == "Q20"
+    assert dict((n, s) for n, _, s in job.document_rules())["A3"] == "ypcat3atr3"
+
+
+def test_pivoting_the_dimension_equals_pivoting_the_documents(spark):
+    rows = sample_rows(spark)
+    ids = spark.createDataFrame([(1, 1, 5), (2, 2, 6), (3, 3, 7)], "RowID bigint, yusrid int, intgen1 int")
+    tables = dimension_tables(spark)
+    plan = job.DeltaPlan(lookups=job.document_lookups(tables), columns=job.document_columns())
+    got = job.denormalise(rows, ids, plan)
+    want = joined_then_pivoted(rows, ids, tables)
+    assert got.columns == want.columns == [n for n, _, _ in job.document_rules()]
+    assert rows_of(got) == rows_of(want)
+    assert got.filter("ProductID = 1 and LocationID = 5").first()["Q1"] == "Size"
+
+
+def test_delta_job(spark, tmp_path):
+    rows = sample_rows(spark)
+    tables = dimension_tables(spark)
+    plan = job.DeltaPlan(lookups=job.document_lookups(tables), columns=job.document_columns())
+    bucket = md5_bucket(F.concat_ws("-", "yusrid", "intgen1", "batvypid"), 4).cast("string")
+    static = LakeTable(str(tmp_path / "static"), plan.keys, bucket, plan.updated)
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+
+    first = job.delta_job(rows, static, store, plan, Export(str(tmp_path / "e1"), size=2, prefix="docs"))
+    assert first["rows"] == 4 and first["bookmark"] == day(4)
+    names = sorted(os.path.basename(d) for d in glob.glob(f"{tmp_path}/e1/batch=*"))
+    assert names == [
+        "batch=docs.2004-01-01 00-00-00_2016-01-04 00-00-00.1-2",
+        "batch=docs.2004-01-01 00-00-00_2016-01-04 00-00-00.3-4",
+    ]
+    # nothing newer: nothing happens
+    idle = job.delta_job(rows, static, store, plan, Export(str(tmp_path / "e2")))
+    assert idle["rows"] == 0 and not os.path.exists(tmp_path / "e2")
+    # one changed row brings its whole (user, location) group again
+    newer = flat_rows(spark, [(1, 5, 1, 2, 1, "Pune", day(9), "changed id", 77)])
+    second = job.delta_job(rows.unionByName(newer), static, store, plan, Export(str(tmp_path / "e3")))
+    assert second["bookmark"] == day(9) and second["rows"] == 3
+    kept = static.read(spark).filter("yusrid = 1 and batvypid = 1").first()
+    assert (kept["ccty"], kept["ypbusinessid"], kept["rown"]) == ("Pune", "b1", 1)
+    assert [r["BookmarkDT"] for r in ctl.top_rows(store.read("job_bookmarks"), "ID").collect()] == [day(9), day(4)]
+
+
+def test_export_files(spark, tmp_path):
+    ids = spark.range(1, 101).select(F.col("id").alias("RowID"), F.when(F.col("id") % 2 == 0, F.lit('a "b"')).alias("t"))
+    export = Export(str(tmp_path / "out"), size=40, prefix="p")
+    listed = {unquote(r["path"]).removeprefix("file:"): r["md5"] for r in export.write(ids.repartition(7), "f", "t").collect()}
+    seen = []
+    for folder, start in (("1-40", 1), ("41-80", 41), ("81-120", 81)):
+        for name in glob.glob(f"{tmp_path}/out/batch=p.f_t.{folder}/*.gz"):
+            raw = open(name, "rb").read()
+            assert listed[name] == hashlib.md5(raw).hexdigest()
+            lines = gzip.decompress(raw).decode().splitlines()
+            numbers = [int(line.split("\t")[0]) for line in lines]
+            assert numbers == sorted(numbers) and numbers[0] >= start
+            assert all(line.split("\t")[1] == ('a "b"' if n % 2 == 0 else "") for n, line in zip(numbers, lines))
+            seen += numbers
+    assert sorted(seen) == list(range(1, 101))
+
+
+# reports, jobs, delivery -------------------------------------------------
+
+
+def test_order_report_counts_orders_without_lines_and_products(spark):
+    orders = spark.createDataFrame([(1, 10), (2, 10), (3, 10), (4, 1), (None, 10)], "id int, day int")
+    lines = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (2, None, 4), (4, "a", 9)], "oid int, p string, x int")
+    got = order_report(orders, lines, F.lit(5), "id", "oid", "p", "day", F.col("x"))
+    want = (
+        orders.filter("day > 5").join(lines, F.col("id") == F.col("oid"), "left").groupBy("p")
+        .agg(F.count(F.lit(1)).alias("n"), F.count("oid").alias("m"), F.sum("x").alias("s"))
+    )
+    assert rows_of(got) == rows_of(want)
+
+
+def test_saved_report_from_file(spark, tmp_path, sf):
+    (tmp_path / "q.sql").write_text("SELECT count(*) AS n\nFROM {orders}")
+    report = SavedReport("file", str(tmp_path / "q.sql"), str(tmp_path / "out"), fmt="json")
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    report.store(spark, {"orders": orders})
+    assert spark.read.json(str(tmp_path / "out")).first()["n"] == orders.count()
+
+
+def test_jobs_due_rules(spark):
+    fields = "name string, lastStarted string, lastEnded string, runFrequency string, totalRuns int, currentState string"
+    registry = spark.createDataFrame(
+        [
+            ("first", "0001-01-01 00:00:00", "0001-01-01 00:00:00", "1 day", 0, "idle"),
+            ("running", "2020-01-01 10:00:00", "2020-01-01 09:00:00", "1 min", 3, "running"),
+            ("crashed late", "2020-01-01 10:00:00", "2020-01-01 09:00:00", "30 min", 3, "idle"),
+            ("crashed early", "2020-01-01 10:00:00", "2020-01-01 09:00:00", "1 day", 3, "idle"),
+            ("ok due", "2020-01-01 10:00:00", "2020-01-01 10:10:00", "2 hours", 3, "idle"),
+            ("ok exact", "2020-01-01 10:00:00", "2020-01-01 10:10:00", "3 hours", 3, "idle"),
+            ("unreadable", "2020-01-01 10:00:00", "2020-01-01 10:10:00", "often", 3, "idle"),
+            ("under a minute", "2020-01-01 10:00:30", "2020-01-01 10:00:00", "1 day", 3, "idle"),
+        ],
+        fields,
+    )
+    now = F.lit("2020-01-01 13:00:59").cast("timestamp_ntz")
+    found = {r["name"]: r["reason"] for r in jobs.jobs_due(registry, now).collect()}
+    assert found == {
+        "first": jobs.FIRST_RUN, "crashed late": jobs.NEXT_NOT_OK, "crashed early": jobs.EARLY_NOT_OK, "ok due": jobs.NEXT_OK
+    }
+
+
+def test_health(spark):
+    empty = spark.createDataFrame([], "failureRuns int")
+    good, bad = spark.createDataFrame([(0,)], "failureRuns int"), spark.createDataFrame([(0,), (2,)], "failureRuns int")
+    assert [jobs.health_summary(x).first()["message"] for x in (empty, good, bad)] == [
+        jobs.HEALTH_EMPTY, jobs.HEALTH_GOOD, jobs.HEALTH_BAD
+    ]
+    assert jobs.stream_health(empty).first()["message"] == jobs.STREAMS_EMPTY
+
+
+def test_delivery_cycle(spark):
+    schema = "dbname string, tablename string, primarykey string, qualifiedName string, sourceid int, kafkaTargetid int, hdfsTargetid int"
+    status = spark.createDataFrame([("d", "t", "1", "d_t_1", 5, 5, 4), ("d", "t", "2", "d_t_2", 5, None, 5)], schema)
+    assert [r["primarykey"] for r in delivery.pending(status, "hdfs").collect()] == ["1"]
+    assert [r["primarykey"] for r in delivery.pending(status, "kafka").collect()] == ["2"]
+    news = spark.createDataFrame([("d", "t", "2", "d_t_2", 9, 0, 0), ("d", "t", "3", "d_t_3", 1, None, None)], schema)
+    moved = delivery.status_upsert(status, news)
+    assert {(r["primarykey"], r["sourceid"], r["hdfsTargetid"]) for r in moved.collect()} == {
+        ("1", 5, 4), ("2", 9, 5), ("3", 1, None)
+    }
+    due = delivery.pending(moved, "hdfs")
+    assert due.count() == 3
+    assert delivery.pending(delivery.mark_delivered(moved, "hdfs"), "hdfs").isEmpty()
+    facts = spark.createDataFrame([(1, "2020-01-01"), (8, "2020-01-02")], "id int, ts string")
+    rows = delivery.delivery_rows(facts, due, "id", F.col("primarykey").cast("int"), "ts")
+    assert rows_of(rows) == [(1, "2020-01-01", "dt=2020-01-01")]
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    from tidemark import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster())
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
