@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from tidemark.queries import operations, rows, scalars, streams, tables, words  # noqa: F401
+    from tidemark.queries import documents, operations, rows, scalars, streams, tables, words  # noqa: F401

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this library expects.  AQE does the run-time work
@@ -62,6 +63,17 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds Parquet files."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate for the optimised plan."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
