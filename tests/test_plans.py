@@ -415,3 +415,48 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.shared_dir(Cluster())
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_reported_values_are_stored(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    spec = TableSpec(**{**SPEC.__dict__, "treatment": "report"})
+    rows = spark.createDataFrame([("a", 1, "12"), ("b", 2, "bad"), ("c", 3, None)], SCHEMA)
+    store.register(spec, "{}", rows.schema, {"v": "int"})
+    assert sync_table(FrameSource(rows, spec), spec, store, str(tmp_path / "t")) == 3
+    assert rows_of(spark.read.parquet(str(tmp_path / "t")).select("k", "v")) == [("a", 12), ("b", None), ("c", None)]
+    assert rows_of(store.read("rejects").select("primarykey", "colname", "target", "value")) == [("b", "v", "int", "bad")]
+
+
+def test_registry_follows_the_run_log(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    specs = [TableSpec(**{**SPEC.__dict__, "table": t, "host": "h", "runFrequency": "1 min"}) for t in ("new", "ok", "bad", "busy")]
+    for spec in specs:
+        store.register(spec, "{}", spark.createDataFrame([], SCHEMA).schema)
+    for spec, end in ((specs[1], ctl.PASSED), (specs[2], ctl.FAILED), (specs[3], None)):
+        store.log(spec, "r", ctl.STARTED)
+        if end:
+            store.log(spec, "r", end, "E: boom 1" if end == ctl.FAILED else None)
+    found = {r["dbtable"]: r for r in store.registry().collect()}
+    assert (found["new"]["totalRuns"], found["new"]["lastStarted"]) == (0, ctl.NEVER)
+    assert (found["ok"]["successRuns"], found["ok"]["currentState"]) == (1, "idle")
+    assert (found["bad"]["failureRuns"], found["bad"]["exceptions"], found["bad"]["lastEnded"]) == (1, "Eboom", ctl.NEVER)
+    assert found["busy"]["currentState"] == "running"
+    later = F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
+    due = {r["dbtable"]: r["reason"] for r in jobs.jobs_due(store.registry(), later).collect()}
+    assert due == {"new": jobs.FIRST_RUN, "ok": jobs.NEXT_OK, "bad": jobs.NEXT_NOT_OK}
+    assert jobs.health_summary(store.registry()).first()["message"] == jobs.HEALTH_BAD
+
+
+def test_unsupported_database_is_logged(spark, tmp_path):
+    from tidemark.plans.sync import JdbcSource
+
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    assert sync_table(JdbcSource(spark, SPEC), SPEC, store, str(tmp_path / "t")) == 0
+    last = store.read("run_log").orderBy(F.desc("id")).first()
+    assert last["exceptions"] == "thedbconnectiontypeprovidedisnotsupported"
+
+
+def test_stream_log(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "control"))
+    store.log_stream(StreamSpec(topic="t", alias="a", bookmark="b", primaryKey="k"), "r", ctl.STARTED)
+    assert store.read("stream_log").first()["topic"] == "t"

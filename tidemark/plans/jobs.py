@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.times import freq_minutes, minutes_between, zero_date_null
+from tidemark.plans.control import RUNNING
 
-# Registry states and the texts given as reason and health.
-RUNNING, IDLE = "running", "idle"
+# The texts given as reason and health.
 FIRST_RUN = "starting the first Run Ever . . ."
 NEXT_OK = "starting the Next Run | previous OK . . ."
 NEXT_NOT_OK = "starting the Next Run | previous NOT OK . . ."

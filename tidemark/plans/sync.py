@@ -5,16 +5,20 @@ from __future__ import annotations
 import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.buckets import md5_bucket
-from tidemark.functions.convert import convert_target_types
+from tidemark.functions.convert import REPORT, conversion_targets, convert_target_types, rejects
 from tidemark.plans.control import DEFAULT_BOOKMARK, FAILED, PASSED, STARTED, ControlStore
 from tidemark.plans.lake import LakeTable
+from tidemark.session import written
 from tidemark.sources import jdbc
 from tidemark.specs import TableSpec
 
 
+UNSUPPORTED = "the db connection type provided is not supported"
+
+
 def bookmark_between(df: DataFrame, column: str, previous: str, current: str) -> Column:
     """Rows from the previous to the current bookmark, both included.
 
@@ -79,29 +83,55 @@ def sync_table(
 ) -> int:
     """Bring the target up to the source's newest bookmark; returns the rows read.
 
-    One staged batch, one upsert job over all touched buckets.  The bookmark
-    moves only after the target is written; a repeated range is harmless.
+    One staged batch, counted as it is written, and one upsert job over all
+    touched buckets.  The bookmark moves only after the target is written; a
+    repeated range is harmless.
     ``on_rows`` receives the staged batch, e.g. to send it to a topic.
     """
     run = secrets.token_hex(5)
     control.log(spec, run, STARTED)
     try:
-        previous = control.bookmark(spec.key)
         current = source.current_bookmark()
-        rows = source.read_range(previous, current)
-        count = 0
-        if rows.columns:
-            typed = convert_target_types(rows, control.overrides(spec.qualified), treatment=spec.treatment)
+        rows = source.read_range(control.bookmark(spec.key), current)
+        count, problem = 0, None
+        if not rows.columns:
+            problem = UNSUPPORTED
+        else:
+            overrides = control.overrides(spec.qualified)
+            if spec.treatment.lower() == REPORT:
+                rows = report_rejects(rows, spec, overrides, control, run)
+            typed = convert_target_types(rows, overrides, treatment=spec.treatment)
             target = lake_table(spec, path, rows.schema[spec.bookmark].dataType.simpleString())
-            batch = target.stage(typed)
-            count = batch.count()
+            seen = Observation("batch")
+            batch = target.stage(typed.observe(seen, F.count(F.lit(1)).alias("rows")))
+            count = seen.get["rows"]
             if count:
                 target.upsert(batch, newer_wins, staged=True)
                 if on_rows:
                     on_rows(batch)
         control.save_bookmark(spec.key, current)
-        control.log(spec, run, PASSED)
+        control.log(spec, run, PASSED, problem)
         return count
     except Exception as error:
         control.log(spec, run, FAILED, str(error))
         raise
+
+
+def report_rejects(
+    rows: DataFrame, spec: TableSpec, overrides: dict[str, str], control: ControlStore, run: str
+) -> DataFrame:
+    """Store the values that cannot be converted; returns the batch to go on with.
+
+    The batch is fixed on shared storage first, as the source is read once.
+    """
+    fixed = written(rows, "source")
+    targets = conversion_targets(fixed, overrides)
+    if targets:
+        bad = rejects(fixed, targets, [spec.primaryKey]).select(
+            F.lit(spec.qualified).alias("tablename"),
+            F.lit(run).alias("hash"),
+            F.col(spec.primaryKey).cast("string").alias("primarykey"),
+            "colname", "target", "value",
+        )
+        bad.write.mode("append").parquet(f"{control.root}/rejects")
+    return fixed

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.plans import delivery, jobs
-from tidemark.plans.control import FAILED, PASSED, STARTED, run_counters
+from tidemark.plans.control import FAILED, IDLE, PASSED, RUNNING, STARTED, run_counters
 from tidemark.plans.reports import SavedReport
 from tidemark.queries import query
 from tidemark.queries.rows import day
@@ -37,7 +37,7 @@ def registry(spark, folder):
         frequency().alias("runFrequency"),
         (key % 11).cast("int").alias("totalRuns"),
         (key % 3).cast("int").alias("failureRuns"),
-        F.when(F.col("o_orderstatus") == "P", jobs.RUNNING).otherwise(jobs.IDLE).alias("currentState"),
+        F.when(F.col("o_orderstatus") == "P", RUNNING).otherwise(IDLE).alias("currentState"),
     )
 
 
@@ -81,7 +81,7 @@ def stream_health(spark, folder):
     """SELECT l_suppkey AS dbtable, count(*) FILTER (l_returnflag = 'N') AS "totalRuns",
           count(*) FILTER (l_returnflag = 'A') AS "successRuns", count(*) FILTER (l_returnflag = 'R') AS "failureRuns",
           max(l_shipdate) FILTER (l_returnflag = 'N') AS "lastStarted",
-          max(l_shipdate) FILTER (l_returnflag <> 'N') AS "lastEnded" FROM lineitem GROUP BY 1""",
+          max(l_shipdate) FILTER (l_returnflag = 'A') AS "lastEnded" FROM lineitem GROUP BY 1""",
 )
 def run_counters_query(spark, folder):
     notes = F.when(F.col("l_returnflag") == "N", STARTED).when(F.col("l_returnflag") == "A", PASSED).otherwise(FAILED)

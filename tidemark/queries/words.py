@@ -217,13 +217,17 @@ def keyword_form(spark, folder):
     return names(spark, folder).select("id", tokens.keyword_form("name").alias("term"))
 
 
-def shingle_sql(words: str, separator: str) -> str:
-    runs = ", ".join(
-        f"list_transform(range(1, greatest(len({words}) - {n - 2}, 1)),"
-        f" lambda i: array_to_string({words}[i:i + {n - 1}], '{separator}'))"
-        for n in (2, 3)
+def shingle_list_sql(w: str, separator: str) -> str:
+    two = f"list_transform(list_zip({w}[1:len({w}) - 1], {w}[2:]), lambda x: x[1] || '{separator}' || x[2])"
+    three = (
+        f"list_transform(list_zip({w}[1:len({w}) - 2], {w}[2:len({w}) - 1], {w}[3:]),"
+        f" lambda x: x[1] || '{separator}' || x[2] || '{separator}' || x[3])"
     )
-    return f"coalesce(array_to_string(flatten([{runs}]), '|'), '')"
+    return f"CASE WHEN len({w}) >= 3 THEN list_concat({two}, {three}) WHEN len({w}) = 2 THEN {two} ELSE [] END"
+
+
+def shingle_sql(w: str, separator: str) -> str:
+    return f"coalesce(array_to_string({shingle_list_sql(w, separator)}, '|'), '')"
 
 
 @query(
@@ -297,9 +301,8 @@ def char_ngrams(spark, folder):
 
 @query(
     "shingle_grams",
-    f"""WITH s AS (SELECT id, flatten([{', '.join(
-        f"list_transform(range(1, greatest(len(w) - {n - 2}, 1)), lambda i: array_to_string(w[i:i + {n - 1}], ' '))"
-        for n in (2, 3))}]) AS s FROM (SELECT id, {WORDS_SQL.format('name')} AS w FROM ({NAMES_SQL})))
+    f"""WITH s AS (SELECT id, {shingle_list_sql('w', ' ')} AS s
+          FROM (SELECT id, {WORDS_SQL.format('name')} AS w FROM ({NAMES_SQL})))
         SELECT id, {text_sql('flatten(list_transform(s, lambda t: ' + edge_sql('t') + '))')} AS edge,
                {text_sql('flatten(list_transform(s, lambda t: ' + ngram_sql('t') + '))')} AS ngram FROM s""",
 )
