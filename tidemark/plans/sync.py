@@ -5,7 +5,7 @@ from __future__ import annotations
 import secrets
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.buckets import md5_bucket
 from tidemark.functions.convert import REPORT, conversion_targets, convert_target_types, rejects
@@ -81,10 +81,9 @@ def sync_table(
     newer_wins: bool = False,
     on_rows: Callable[[DataFrame], None] | None = None,
 ) -> int:
-    """Bring the target up to the source's newest bookmark; returns the rows read.
+    """Bring the target up to the source's newest bookmark; returns the number of changed keys.
 
-    One staged batch, counted as it is written, and one upsert job over all
-    touched buckets.  The bookmark moves only after the target is written; a
+    One staged batch and one upsert job over all touched buckets.  The bookmark moves only after the target is written; a
     repeated range is harmless.
     ``on_rows`` receives the staged batch, e.g. to send it to a topic.
     """
@@ -102,9 +101,8 @@ def sync_table(
                 rows = report_rejects(rows, spec, overrides, control, run)
             typed = convert_target_types(rows, overrides, treatment=spec.treatment)
             target = lake_table(spec, path, rows.schema[spec.bookmark].dataType.simpleString())
-            seen = Observation("batch")
-            batch = target.stage(typed.observe(seen, F.count(F.lit(1)).alias("rows")))
-            count = seen.get["rows"]
+            batch = target.stage(typed)
+            count = batch.count()
             if count:
                 target.upsert(batch, newer_wins, staged=True)
                 if on_rows:

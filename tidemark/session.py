@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Settings every job of this library expects.  AQE does the run-time work
 #: (coalescing, skew splitting, switching to broadcast on measured sizes).
@@ -63,15 +64,14 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds Parquet files."""
+def parquet_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Schema of the Parquet files below ``path``, ``None`` if there are none."""
     try:
-        spark.read.parquet(path)
+        return spark.read.parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
+            return None
         raise
-    return True
 
 
 def estimated_bytes(df: DataFrame) -> int:
