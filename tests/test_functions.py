@@ -231,3 +231,10 @@ def test_lift_and_count(spark):
     df = spark.sql("select array(struct(1 as id, 'a' as name), struct(2 as id, 'b' as name)) media union all select null")
     rows = df.select(*grams.lift("media", "id", "name"), grams.item_count("media").alias("n")).collect()
     assert [tuple(r) for r in rows] == [([1, 2], ["a", "b"], 2), (None, None, 0)]
+
+
+def test_one_row_per_element(spark, plan_of):
+    df = spark.createDataFrame([(1, "b a"), (2, ""), (3, None)], "id int, x string")
+    rows = tokens.one_per_row(df, tokens.tokens("x"), "term", "id")
+    assert [tuple(r) for r in rows.collect()] == [(1, "b"), (1, "a")]
+    assert plan_of(rows).count("regexp_extract_all") == 1

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import as_column, bind
 
@@ -71,3 +71,12 @@ def recombine(stream: Column, separator: str = " ") -> Column:
     """All terms of a stream as one string; NULL for an empty stream."""
     joined = F.array_join(F.transform(stream, lambda t: t["term"]), separator)
     return F.when(F.size(stream) > 0, joined)
+
+
+def one_per_row(df: DataFrame, items: Column, name: str, *keep: str) -> DataFrame:
+    """One row per array element, beside the ``keep`` columns.
+
+    For a plain ``explode`` Catalyst adds a filter on the array's size, which
+    computes a costly array expression again; the outer form gets none.
+    """
+    return df.select(*keep, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())

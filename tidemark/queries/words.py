@@ -70,7 +70,7 @@ def vocabulary(spark, folder):
     texts = table(spark, folder, "documents").select("text").unionByName(
         table(spark, folder, "conversations").select("text")
     )
-    words = spread(texts).select(F.explode(tokens.tokens("text")).alias("term"))
+    words = tokens.one_per_row(spread(texts), tokens.tokens("text"), "term")
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -164,7 +164,7 @@ def token_flags(spark, folder):
 
     stream = F.transform(F.col("stream"), long_words)
     marked = doc_stream(spark, folder).select(tokens.stem_replace(stream, plural_stem).alias("stream"))
-    flags = marked.select(F.explode(F.col("stream")["flags"]).alias("flags"))
+    flags = tokens.one_per_row(marked, F.col("stream")["flags"], "flags")
     return flags.groupBy("flags").agg(F.count(F.lit(1)).alias("tokens"))
 
 
@@ -191,7 +191,7 @@ def recombine(spark, folder):
 )
 def token_counts(spark, folder):
     """Term and document frequency: counted per row first, so one shuffle serves both."""
-    words = documents(spark, folder).select("doc_id", F.explode(tokens.tokens("text")).alias("term"))
+    words = tokens.one_per_row(documents(spark, folder), tokens.tokens("text"), "term", "doc_id")
     per_doc = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("k"))
     return per_doc.groupBy("term").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("docs"))
 
