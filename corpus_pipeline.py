@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, hosts
+from tidemark.llm import exact, hosts, simhash
 from tidemark.llm.common import table
 from tidemark.session import written
 
@@ -17,7 +17,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return exact.exact_dedup(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return simhash.near_dedup(docs)
+
+
+STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup), ("near dedup", near_dedup)]
 
 #: Token packing and suffix sorting are beyond SQL.
 ORACLE_SQL = None

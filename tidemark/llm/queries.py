@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact, hosts
+from tidemark.llm import chat, exact, hosts, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,12 +91,12 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
             WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id, line
         ) GROUP BY doc_id
     ), grams AS (
-        SELECT doc_id, at, words[at : at + 4] AS gram
-        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS at FROM base)
+        SELECT doc_id, pos, words[pos:pos + 4] AS gram
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS pos FROM base)
     ), hits AS (
-        SELECT doc_id, at FROM (SELECT doc_id, at, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1
+        SELECT doc_id, pos FROM (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM grams) WHERE n > 1
     ), covered AS (
-        SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(at, at + 5)) AS word FROM hits)
+        SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(pos, pos + 5)) AS word FROM hits)
         GROUP BY doc_id
     ), m AS (
         SELECT doc_id, host, CAST(len(words) AS BIGINT) AS n_words,
@@ -131,3 +131,8 @@ def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = hosts.host_rules(table(spark, folder, "documents"), ["doc_id"])
     judged = judged.select("row.*", *hosts.MEASURES, "base_failed", "kept")
     return judged.toDF("doc_id", *judged.columns[1:])
+
+
+@query("op3_simhash_golay")
+def op3_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, folder, "documents"))
