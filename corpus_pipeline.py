@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact, hosts, simhash
+from tidemark.llm import exact, hosts, packing, simhash, suffixes
 from tidemark.llm.common import table
 from tidemark.session import written
 
@@ -21,7 +21,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return simhash.near_dedup(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("exact dedup", exact_dedup), ("near dedup", near_dedup)]
+def suffix_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
+    ("suffix dedup", suffix_dedup),
+    ("best-fit packing", best_fit_packing),
+]
 
 #: Token packing and suffix sorting are beyond SQL.
 ORACLE_SQL = None

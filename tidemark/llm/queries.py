@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact, hosts, simhash
+from tidemark.llm import bpe, chat, exact, hosts, packing, simhash, suffixes
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,6 +133,28 @@ def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.toDF("doc_id", *judged.columns[1:])
 
 
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+
+
+@query("op8_suffix_repeats")
+def op8_suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeat_digests(table(spark, folder, "documents"))
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs, ranks = table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    found = bpe.bpe_round_trip(docs, ranks, public_tokenizers.PATTERN, digests=True)
+    return found.toDF("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query("op3_simhash_golay")
 def op3_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(table(spark, folder, "documents"))
