@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, exact, hosts, packing, simhash, suffixes
+from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, simhash, suffixes
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,8 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_simhash_golay")
 def op3_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(table(spark, folder, "documents"))
+
+
+@query("op7_license_rules")
+def op7_license_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
