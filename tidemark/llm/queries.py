@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, simhash, suffixes
+from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, simhash, sites, suffixes, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,14 @@ def op3_simhash_golay(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_license_rules")
 def op7_license_rules(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
+
+
+@query("op1_ordinal_toxicity")
+def op1_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op9_site_quality")
+def op9_site_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return sites.site_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
