@@ -29,9 +29,10 @@ from tidemark.llm.common import Rows, documents_of, id_and_text, picked
 
 SAMPLE = 12_000  # labelled rows the model is fitted on
 BITS = 18  # of a feature's number
-ROUNDS = 150
+ROUNDS = 300
+RARE = 600  # a feature counts if one of so many rows has it, and two rows at least
 TELLING = 6.0  # times more frequent in toxic rows
-LIMIT = 0.5  # probability of any toxicity from which a document counts as toxic
+LIMIT = 0.35  # probability of any toxicity from which a document counts as toxic; set on labelled rows held out
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -71,10 +72,11 @@ class Ordinal:
 
 def fit_ordinal(
     rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: int = BITS, rounds: int = ROUNDS,
-    penalty: float = 1e-5,
+    penalty: float = 1e-6,
 ) -> Ordinal:
     """Maximum likelihood by Adam; thresholds stay in order because their distances are exponentials.
 
+    Rare features keep weight zero: they would only tell the rows apart.
     Without rows, or with one grade only, everything gets the lowest grade seen.
     """
     levels = int(grades.max()) if len(grades) else 0
@@ -82,8 +84,11 @@ def fit_ordinal(
         low = -60.0 if levels else 60.0
         return Ordinal(np.zeros(1 << bits, np.float32), np.full(max(levels, 1), low))
     owner = np.repeat(np.arange(len(rows)), [len(n) for n, _ in rows])
-    used, place = np.unique(np.concatenate([n for n, _ in rows]), return_inverse=True)
-    x = np.concatenate([values(c) for _, c in rows])
+    numbers, x = np.concatenate([n for n, _ in rows]), np.concatenate([values(c) for _, c in rows])
+    common = np.bincount(numbers, minlength=1 << bits) >= max(2, len(rows) / RARE)
+    kept = common[numbers]
+    owner, x = owner[kept], x[kept]
+    used, place = np.unique(numbers[kept], return_inverse=True)
     rates = np.clip([(grades > j).mean() for j in range(levels)], 1e-4, 1 - 1e-4)
     start = -np.log(rates / (1 - rates))
     gaps = np.log(np.maximum(np.diff(start), 0.05))
