@@ -46,7 +46,7 @@ def _complement(gap: int, most: int, counts: list[int], lengths: list[int]) -> t
         if 2 * b < gap:
             break
         c = gap - b
-        if counts[c] > (b == c):
+        if counts[b] and counts[c] > (b == c):  # the piece set aside may have been the last of its length
             return b, c
     for at in range(top - 1, -1, -1):
         b = lengths[at]
@@ -59,7 +59,7 @@ def _complement(gap: int, most: int, counts: list[int], lengths: list[int]) -> t
             if 2 * c < rest:
                 break
             d = rest - c
-            if counts[c] > (c == b) and counts[d] > (d == b) + (d == c):
+            if counts[b] and counts[c] > (c == b) and counts[d] > (d == b) + (d == c):
                 return b, c, d
     return None
 
