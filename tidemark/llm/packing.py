@@ -15,6 +15,7 @@ order, and the number gives a piece its sequence and place.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
@@ -145,17 +146,24 @@ def runs(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 
 
 class TokenizerIds:
-    """Ids by a tokenizer file, with a memory for parts of texts that repeat."""
+    """Ids by a tokenizer file, with a memory for parts of texts that repeat.
+
+    The parts of a text that are not in the memory are encoded as one text.
+    No token reaches across parts, so the bytes a token stands for tell where
+    the ids of each part end.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side; no threads within one
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = Memo()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, "<u4").tobytes() for f in found]
+        # a byte-level vocabulary writes every byte as one character
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)
 
     def __call__(self, text: str) -> np.ndarray:
         if not text:
@@ -163,14 +171,19 @@ class TokenizerIds:
         first, *rest = clean_parts(text)
         known = self.parts.get
         ids = [known(p) for p in rest]
-        if None in ids:
-            new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None))
-            fresh = dict(zip(new, self._ids([" " + p for p in new])))
-            for part, own in fresh.items():
-                if len(part) < 64:
-                    self.parts.put(part, own)
-            ids = [i if i is not None else fresh[p] for p, i in zip(rest, ids)]
-        return np.frombuffer(self._ids([first])[0] + b"".join(ids), "<u4")
+        new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None)) if None in ids else []
+        found = self.tokenizer.encode_batch_fast([" ".join([first, *new])], add_special_tokens=False)[0].ids
+        own = np.array(found, "<u4")
+        if not new:
+            return np.frombuffer(own.tobytes() + b"".join(ids), "<u4")
+        ends = np.cumsum([len(first.encode()), *[len(p.encode()) + 1 for p in new]])
+        stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends) + 4).tolist()
+        raw = own.tobytes()
+        fresh = {part: raw[a:b] for part, a, b in zip(new, stops, stops[1:])}
+        for part, some in fresh.items():
+            if len(part) < 64:
+                self.parts.put(part, some)
+        return np.frombuffer(raw[: stops[0]] + b"".join([i if i is not None else fresh[p] for p, i in zip(rest, ids)]), "<u4")
 
 
 FIELDS = [
