@@ -9,6 +9,15 @@ _ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _CLEAN = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _plain(text: str) -> bool:
+    """No white space but single spaces, and line feeds without a space beside them."""
+    if text.isascii() or not any(c in text for c in _ODD[8:]):
+        plain = not any(c in text for c in _ODD[:8])
+    else:
+        plain = False
+    return plain and "  " not in text and " \n" not in text and "\n " not in text and text[:1] != " " and text[-1:] != " "
+
+
 def clean_parts(text: str) -> list[str]:
     """The text cut at every single space between two characters that are not white space.
 
@@ -17,13 +26,24 @@ def clean_parts(text: str) -> list[str]:
     each part but the first, with its space put back in front, has the same
     pre-tokens alone as in the text.
     """
-    if text.isascii() or not any(c in text for c in _ODD[8:]):
-        plain = not any(c in text for c in _ODD[:8])
-    else:
-        plain = False
-    if plain and "  " not in text and " \n" not in text and "\n " not in text and text[:1] != " " and text[-1:] != " ":
-        return text.split(" ")
-    return _CLEAN.split(text)
+    return text.split(" ") if _plain(text) else _CLEAN.split(text)
+
+
+def line_parts(text: str) -> list[str]:
+    """Like ``clean_parts``, and cut before every line feed that stands alone; such a part keeps its line feed
+    and has no space in front.
+
+    A lone line feed is a pre-token of its own, so lines that begin and end
+    with common words are made of common parts.
+    """
+    if "\n\n" not in text and _plain(text):
+        return text.replace("\n", " \n").split(" ")
+    return clean_parts(text)
+
+
+def led(part: str) -> str:
+    """A part other than the first as it stands in the text."""
+    return part if part[0] == "\n" else " " + part
 
 
 class Memo(dict):

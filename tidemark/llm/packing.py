@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.chunks import Memo, clean_parts
+from tidemark.llm.chunks import Memo, led, line_parts
 from tidemark.llm.common import Rows, documents_of, id_and_text
 from tidemark.session import written
 
@@ -158,7 +158,7 @@ class TokenizerIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side; no threads within one
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Memo()
+        self.parts = Memo(750_000)  # some 150 MB
         # a byte-level vocabulary writes every byte as one character
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -168,16 +168,17 @@ class TokenizerIds:
     def __call__(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, "<u4")
-        first, *rest = clean_parts(text)
+        first, *rest = line_parts(text)
         known = self.parts.get
         ids = [known(p) for p in rest]
         new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None)) if None in ids else []
-        found = self.tokenizer.encode_batch_fast([" ".join([first, *new])], add_special_tokens=False)[0].ids
+        stood = [first, *map(led, new)]
+        found = self.tokenizer.encode_batch_fast(["".join(stood)], add_special_tokens=False)[0].ids
         own = np.array(found, "<u4")
         if not new:
             return np.frombuffer(own.tobytes() + b"".join(ids), "<u4")
-        ends = np.cumsum([len(first.encode()), *[len(p.encode()) + 1 for p in new]])
-        stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends) + 4).tolist()
+        ends = np.cumsum([len(p.encode()) for p in stood])
+        stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends, side="right")).tolist()
         raw = own.tobytes()
         fresh = {part: raw[a:b] for part, a, b in zip(new, stops, stops[1:])}
         for part, some in fresh.items():
