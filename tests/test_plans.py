@@ -75,10 +75,15 @@ def test_bucket_names_stay_text(spark, tmp_path):
     assert table.read(spark).count() == 3
 
 
-def test_many_touched_buckets_use_a_join(spark, tmp_path, monkeypatch):
-    from tidemark.plans import lake as module
+def test_many_touched_buckets_keep_the_partition_filter(spark, tmp_path, plan_of):
+    table = lake(tmp_path / "t")
+    table.upsert(spark.createDataFrame([("a", 1, "old")], SCHEMA))
+    staged = spark.range(3000).select(F.col("id").cast("string").alias("partition"))
+    plan = plan_of(table.touched(spark, staged))
+    assert "partition" in plan.split("PartitionFilters: [")[1].split("]")[0] and "Join" not in plan
 
-    monkeypatch.setattr(module, "STATIC_BUCKETS", 1)
+
+def test_upsert_of_every_bucket(spark, tmp_path):
     table = lake(tmp_path / "t")
     base = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("d"), F.lit("old").alias("v"))
     table.upsert(base)
@@ -151,6 +156,42 @@ def test_bookmarks_and_overrides(spark, tmp_path):
     assert [r["bookmark"] for r in newest] == ["9", "3"]
 
 
+def test_first_load_has_no_lower_bound(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    rows = spark.createDataFrame([("a", -5, "x"), ("b", 5, "y")], SCHEMA)
+    assert sync_table(FrameSource(rows, SPEC), SPEC, store, str(tmp_path / "numbers")) == 2
+    spec = TableSpec(**{**SPEC.__dict__, "table": "texts"})
+    texts = spark.createDataFrame([("a", " early", "x"), ("b", "late", "y")], "k string, d string, v string")
+    assert sync_table(FrameSource(texts, spec), spec, store, str(tmp_path / "texts")) == 2
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "timestamp_ntz"])
+def test_empty_source_leaves_the_bookmark(spark, tmp_path, kind):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    store.save_bookmark(SPEC.key, "7")
+    rows = spark.createDataFrame([], f"k string, d {kind}, v string")
+    assert sync_table(FrameSource(rows, SPEC), SPEC, store, str(tmp_path / "t")) == 0
+    assert store.bookmark(SPEC.key) == "7"
+    assert store.read("run_log").orderBy(F.desc("id")).first()["notes"] == ctl.PASSED
+
+
+def test_equal_tables_of_two_hosts(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    for host, marks in (("one", [100]), ("two", [50, 60])):
+        spec = TableSpec(**{**SPEC.__dict__, "host": host})
+        rows = spark.createDataFrame([(str(m), m, "x") for m in marks], SCHEMA)
+        assert sync_table(FrameSource(rows, spec), spec, store, str(tmp_path / host)) == len(marks)
+
+
+def test_newest_registration_counts(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for kind in ("int", "double"):
+        store.register(SPEC, "{}", schema, {"v": kind})
+    assert store.overrides(SPEC.qualified)["v"] == "double"
+    assert store.registry().count() == 1
+
+
 def test_bookmark_filter_reaches_the_scan(spark, sf, plan_of):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     picked = orders.filter(bookmark_between(orders, "o_orderdate", "1996-01-01 00:00:00", "1997-01-01 00:00:00"))
@@ -169,7 +210,7 @@ def test_table_record_round_trip():
         "'druidMetrics':'','druidDims':'','runFrequency':'1 day','treatment':'skip'}"
     )
     spec = TableSpec.from_json(record)
-    assert (spec.key, spec.qualified, spec.columns, spec.buckets, spec.toDruid) == ("d_t", "a_d_t", ["k", "b"], 16, True)
+    assert (spec.key, spec.qualified, spec.columns, spec.buckets, spec.toDruid) == ("h_1_a_d_t", "a_d_t", ["k", "b"], 16, True)
     stream = StreamSpec.from_json("{'topic':'b,a,b','alias':'x','bookmark':'ts','primaryKey':'id','partitionCol':''}")
     assert stream.topics == ["a", "b"] and stream.partition_source == "ts"
 

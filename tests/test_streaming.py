@@ -113,6 +113,27 @@ def test_replay_of_a_stream_changes_nothing(spark, tmp_path, folder):
     assert rows_of(table.read(spark)) == once
 
 
+def test_numeric_bookmark_and_bad_records(spark, tmp_path, folder):
+    spec = StreamSpec(topic="t", alias="a", bookmark="v", primaryKey="k", partitionCol="p", treatment="report")
+    schema = spark.createDataFrame([], "k string, v bigint, p string, n string").schema
+    table = upsert.stream_table(spec, str(tmp_path / "t"))
+    for texts in (
+        ['{"k":"a","v":9,"p":"x","n":"1"}', '{"k":"a","v":', "", "none"],
+        ['{"k":"a","v":10,"p":"x","n":"two"}', '{"k":"b","v":1,"p":"x"}'],
+        ['{"k":"a","v":8,"p":"x","n":"3"}'],
+    ):
+        rows = spark.createDataFrame([(t,) for t in texts], "value string")
+        rows.coalesce(1).write.mode("append").text(str(folder))
+        run(upsert.upsert_stream(
+            record_stream(spark, folder), spec, schema, table, str(tmp_path / "c"), {"n": "int"}, once=True
+        ))
+    assert rows_of(table.read(spark)) == [("a", 10, "x", None, "x"), ("b", 1, "x", None, "x")]
+    found = spark.read.parquet(str(tmp_path / "c-rejects")).select("primarykey", "target", "value").collect()
+    assert {tuple(r) for r in found} == {
+        (None, "json", '{"k":"a","v":'), (None, "json", ""), (None, "json", "none"), ("a", "int", "two")
+    }
+
+
 def test_partition_column_given(spark, tmp_path, folder):
     spec = StreamSpec(topic="t", alias="a", bookmark="ts", primaryKey="id", partitionCol="v")
     table = upsert.stream_table(spec, str(tmp_path / "t"))

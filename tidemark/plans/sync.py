@@ -19,16 +19,17 @@ from tidemark.specs import TableSpec
 UNSUPPORTED = "the db connection type provided is not supported"
 
 
-def bookmark_between(df: DataFrame, column: str, previous: str, current: str) -> Column:
+def bookmark_between(df: DataFrame, column: str, previous: str | None, current: str) -> Column:
     """Rows from the previous to the current bookmark, both included.
 
     The bounds are literals of the column's own type, so the comparison is
-    typed and reaches the scan.
+    typed and reaches the scan.  Without a previous bookmark there is no
+    lower bound, whatever values the column holds.
     """
     kind = df.schema[column].dataType.simpleString()
     c = F.col(column)
     upper = c <= F.lit(current).cast(kind)
-    if previous == DEFAULT_BOOKMARK and kind not in ("int", "bigint", "double", "string"):
+    if previous is None or (previous == DEFAULT_BOOKMARK and kind not in ("int", "bigint", "double", "string")):
         return upper
     return (c >= F.lit(previous).cast(kind)) & upper
 
@@ -39,11 +40,10 @@ class FrameSource:
     def __init__(self, df: DataFrame, spec: TableSpec):
         self.df, self.spec = df, spec
 
-    def current_bookmark(self) -> str:
-        found = self.df.agg(F.max(self.spec.bookmark).cast("string")).first()[0]
-        return DEFAULT_BOOKMARK if found is None else found
+    def current_bookmark(self) -> str | None:
+        return self.df.agg(F.max(self.spec.bookmark).cast("string")).first()[0]
 
-    def read_range(self, previous: str, current: str) -> DataFrame:
+    def read_range(self, previous: str | None, current: str) -> DataFrame:
         picked = self.df.filter(bookmark_between(self.df, self.spec.bookmark, previous, current))
         return picked.select(*(self.spec.columns or self.df.columns))
 
@@ -52,10 +52,10 @@ class JdbcSource:
     def __init__(self, spark, spec: TableSpec, split: jdbc.ParallelRead | None = None):
         self.spark, self.spec, self.split = spark, spec, split
 
-    def current_bookmark(self) -> str:
-        return jdbc.current_bookmark(self.spark, self.spec)
+    def current_bookmark(self) -> str | None:
+        return jdbc.current_bookmark(self.spark, self.spec, None)
 
-    def read_range(self, previous: str, current: str) -> DataFrame:
+    def read_range(self, previous: str | None, current: str) -> DataFrame:
         return jdbc.read_range(self.spark, self.spec, previous, current, self.split)
 
 
@@ -84,14 +84,17 @@ def sync_table(
     """Bring the target up to the source's newest bookmark; returns the number of changed keys.
 
     One staged batch and one upsert job over all touched buckets.  The bookmark moves only after the target is written; a
-    repeated range is harmless.
+    repeated range is harmless.  A source without a bookmark (an empty one) is left alone, and so is the saved one.
     ``on_rows`` receives the staged batch, e.g. to send it to a topic.
     """
     run = secrets.token_hex(5)
     control.log(spec, run, STARTED)
     try:
         current = source.current_bookmark()
-        rows = source.read_range(control.bookmark(spec.key), current)
+        if current is None:
+            control.log(spec, run, PASSED)
+            return 0
+        rows = source.read_range(control.bookmark(spec.key, None), current)
         count, problem = 0, None
         if not rows.columns:
             problem = UNSUPPORTED

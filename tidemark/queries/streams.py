@@ -63,7 +63,7 @@ EVENT_SPEC = StreamSpec(topic="events", alias="lake", bookmark="ts", primaryKey=
 
 @query(
     "stream_upsert",
-    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id::VARCHAR AS user_id, event_type,
+    """SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS ts, user_id, event_type,
               strftime(ts, '%Y_%m_%d') AS "partition" FROM events
        QUALIFY row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), user_id ORDER BY ts DESC, event_id) = 1""",
 )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tidemark.functions import grams, tokens
 from tidemark.functions.stem import participle_stem, plural_stem
 from tidemark.queries import query
-from tidemark.session import spread
 from tidemark.sources.files import table
 
 WORDS_SQL = "regexp_extract_all(lower({}), '[\\p{{L}}\\p{{N}}]+')"
@@ -70,7 +69,7 @@ def vocabulary(spark, folder):
     texts = table(spark, folder, "documents").select("text").unionByName(
         table(spark, folder, "conversations").select("text")
     )
-    words = tokens.one_per_row(spread(texts), tokens.tokens("text"), "term")
+    words = tokens.one_per_row(texts, tokens.tokens("text"), "term")
     return words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -102,7 +101,7 @@ DOC_STEMS_SQL = f"""WITH toks AS ({DOC_TOKENS_SQL}),
 
 
 def documents(spark, folder):
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def doc_stream(spark, folder):

@@ -73,36 +73,3 @@ def parquet_schema(spark: SparkSession, path: str) -> StructType | None:
             return None
         raise
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate for the optimised plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1 when switched off)."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    number = text.strip().lower().rstrip("b")
-    factors = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    if number and number[-1] in factors:
-        return int(number[:-1]) * factors[number[-1]]
-    return int(number)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the estimated size is within the session's broadcast limit."""
-    return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly work on a small input.
-
-    A Parquet row group is one task, so a small file would keep one core busy.
-    Only inputs of less than a quarter split per core are redistributed; with
-    more there are tasks enough and no shuffle is added.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if estimated_bytes(df) < cores * (128 << 20) / 4:
-        return df.repartition(cores)
-    return df

@@ -35,11 +35,12 @@ def alias_of(spec: TableSpec) -> str:
     return "_".join(re.sub("[^a-zA-Z]", "", part) for part in (spec.alias, spec.db, spec.table))
 
 
-def range_query(spec: TableSpec, previous: str, current: str) -> str:
-    """The rows between two bookmarks, both ends included."""
+def range_query(spec: TableSpec, previous: str | None, current: str) -> str:
+    """The rows between two bookmarks, both ends included; a first load has no lower bound."""
+    lower = "" if previous is None else f"{spec.bookmark} >= {quote(previous)} and "
     return (
         f"(select {','.join(spec.columns) or '*'} from {spec.table}"
-        f" where {spec.bookmark} >= {quote(previous)} and {spec.bookmark} <= {quote(current)})"
+        f" where {lower}{spec.bookmark} <= {quote(current)})"
         f" range_{alias_of(spec)}"
     )
 
@@ -82,7 +83,7 @@ def options(spec: TableSpec, dbtable: str, split: ParallelRead | None = None, fe
 
 
 def read_range(
-    spark: SparkSession, spec: TableSpec, previous: str, current: str, split: ParallelRead | None = None
+    spark: SparkSession, spec: TableSpec, previous: str | None, current: str, split: ParallelRead | None = None
 ) -> DataFrame:
     """Changed rows of a table; an unsupported database gives an empty frame."""
     if database_kind(spec.conntype) is None:
@@ -91,12 +92,14 @@ def read_range(
     return spark.read.format("jdbc").options(**found).load()
 
 
-def current_bookmark(spark: SparkSession, spec: TableSpec) -> str:
-    """Newest bookmark as text; the default when there is none."""
+def current_bookmark(
+    spark: SparkSession, spec: TableSpec, default: str | None = DEFAULT_BOOKMARK
+) -> str | None:
+    """Newest bookmark as text; the default when the table is empty."""
     if database_kind(spec.conntype) is None:
         return DEFAULT_BOOKMARK
     row = spark.read.format("jdbc").options(**options(spec, max_query(spec))).load().first()
-    return DEFAULT_BOOKMARK if row is None or row[0] is None else str(row[0])
+    return default if row is None or row[0] is None else str(row[0])
 
 
 def list_tables(spark: SparkSession, spec: TableSpec) -> DataFrame:

@@ -50,7 +50,8 @@ class TableSpec(_Spec):
 
     @property
     def key(self) -> str:
-        return f"{self.db}_{self.table}"
+        """Name of the bookmark: tables of equal names on other hosts have their own."""
+        return "_".join(part for part in (self.host, self.port, self.qualified) if part)
 
     @property
     def qualified(self) -> str:

@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tidemark.functions.buckets import prefix_value
-from tidemark.functions.convert import convert_target_types
+from tidemark.functions.convert import REPORT, conversion_targets, convert_overrides, rejects
 from tidemark.plans.lake import LakeTable
+from tidemark.session import written
 from tidemark.specs import StreamSpec
 
 # Fixed value: seconds between micro-batches.
 BATCH_SECONDS = 120
+BAD_RECORD = "__bad_record"
 
 
 def stream_table(spec: StreamSpec, path: str) -> LakeTable:
@@ -28,21 +30,42 @@ def stream_table(spec: StreamSpec, path: str) -> LakeTable:
 
 
 def parse_records(values: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Typed rows from JSON text, with the schema given once for the whole stream."""
-    return values.select(F.from_json(column, schema).alias("r")).select("r.*")
+    """Typed rows from JSON text, with the schema given once for the whole stream.
+
+    ``BAD_RECORD`` holds the text of a record that is not valid (an empty
+    text for a null one) and is null for all others.
+    """
+    marked = StructType([*schema.fields]).add(BAD_RECORD, StringType())
+    parsed = F.from_json(column, marked, {"columnNameOfCorruptRecord": BAD_RECORD})
+    bad = F.when(F.col("r").isNull() | (F.trim(column) == ""), F.coalesce(F.col(column), F.lit(""))).otherwise(F.col(f"r.{BAD_RECORD}"))
+    rows = values.select(column, parsed.alias("r"))
+    return rows.select(*[F.col(f"r.`{n}`") for n in schema.names], bad.alias(BAD_RECORD))
 
 
 def batch_writer(
-    spec: StreamSpec, schema: StructType, table: LakeTable, overrides: dict[str, str], newer_wins: bool
+    spec: StreamSpec, schema: StructType, table: LakeTable, overrides: dict[str, str], newer_wins: bool,
+    reject_path: str,
 ) -> Callable[[DataFrame, int], None]:
-    """The per-batch function: parse, convert, upsert.
+    """The per-batch function: parse, set bad records aside, convert, upsert.
 
-    A replayed batch changes nothing and an empty one is skipped, which the
-    table finds out from the staged rows: the batch itself runs only once.
+    Only columns with an override change their type, so the bookmark is
+    compared as what it is declared to be.  A replayed batch changes nothing:
+    its rejects replace those of the same batch.  An empty batch is skipped.
+    The batch is fixed on shared storage and runs only once.
     """
-    def write(batch: DataFrame, _: int) -> None:
-        rows = convert_target_types(parse_records(batch, schema), overrides, treatment=spec.treatment)
-        table.upsert(rows, newer_wins)
+    def write(batch: DataFrame, number: int) -> None:
+        records = written(parse_records(batch, schema), "records")
+        good = records.filter(F.col(BAD_RECORD).isNull()).drop(BAD_RECORD)
+        bad = records.filter(F.col(BAD_RECORD).isNotNull()).select(
+            F.lit(None).cast("string").alias("primarykey"), F.lit(None).cast("string").alias("colname"),
+            F.lit("json").alias("target"), F.col(BAD_RECORD).alias("value"),
+        )
+        targets = conversion_targets(good, overrides)
+        if targets and spec.treatment.lower() == REPORT:
+            values = rejects(good, targets, [spec.primaryKey]).withColumnRenamed(spec.primaryKey, "primarykey")
+            bad = bad.unionByName(values.withColumn("primarykey", F.col("primarykey").cast("string")))
+        bad.write.mode("overwrite").parquet(f"{reject_path}/batch={number}")
+        table.upsert(convert_overrides(good, overrides, spec.treatment), newer_wins)
 
     return write
 
@@ -60,13 +83,19 @@ def upsert_stream(
     overrides: dict[str, str] | None = None,
     newer_wins: bool = True,
     once: bool = False,
+    reject_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream.  State lives in the table, offsets in the checkpoint.
 
+    Malformed records, and with the ``report`` treatment values that cannot
+    be converted, go to ``reject_path`` (``<checkpoint>-rejects`` if none is
+    given) as ``primarykey, colname, target, value``, one folder per batch.
+
     ``newer_wins`` is on: a batch that is replayed after later ones cannot
     put an older row back.
     """
-    writer = batch_writer(spec, schema, table, overrides or {}, newer_wins)
+    reject_path = reject_path or checkpoint.rstrip("/") + "-rejects"
+    writer = batch_writer(spec, schema, table, overrides or {}, newer_wins, reject_path)
     return (
         values.writeStream.foreachBatch(writer)
         .option("checkpointLocation", checkpoint)
