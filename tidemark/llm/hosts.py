@@ -4,9 +4,15 @@ Each document is measured by itself; rule failures are added up per host,
 the rate of each host is shrunk towards all hosts' by a beta prior fitted to
 the data, and the verdict on the host goes back to its documents.
 
-Two sets of rules are used.  A document that breaks a base rule always goes.
-On a host whose shrunk rate reaches the limit, documents have to pass the
-strict rules too.  A clean document therefore stays, wherever it comes from.
+Two sets of rules are used.  A document that breaks a base rule always goes,
+one that breaks no rule always stays, wherever it comes from.  For one that
+breaks strict rules only there are two verdicts:
+
+``kept``, the one of the query's SQL, lets it go on hosts whose shrunk rate
+reaches a fixed limit.  ``stays``, the one of the filter, weighs how far it
+exceeds the rules against the odds of its host, as a multiple of the general
+odds of the fitted prior: at twice the limits it still goes from a host with
+half the general odds.
 """
 
 from __future__ import annotations
@@ -91,6 +97,12 @@ def strict_failed() -> Column:
     )
 
 
+def excess() -> Column:
+    """How many times over the limit the worst broken strict rule is; above 1 for a broken one.  Needs words."""
+    n, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
+    return F.greatest(10 * F.col("n_symbols") / n, 10 * F.col("n_dup_lines") / n, 2 * n / chars, chars / (15 * n))
+
+
 def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     """Beta prior of the hosts' failure rates, by moments weighted with their documents.
 
@@ -114,18 +126,23 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """Documents, failures and the shrunk ``rate`` of each host, written to the shared folder."""
+    """Documents, failures, the shrunk ``rate`` and ``odds`` of each host.
+
+    ``odds`` are those of the rate, in multiples of the prior's.
+    """
     hosts = written(
         measured.groupBy("host").agg(F.count("*").alias("docs"), F.count_if(strict_failed()).alias("failed")), "hosts"
     )
     a, b = beta_prior(hosts)
-    return hosts.withColumn("rate", (F.col("failed") + a) / (F.col("docs") + (a + b)))
+    rate, general = F.col("rate"), F.lit(a / b)
+    shrunk = hosts.withColumn("rate", (F.col("failed") + a) / (F.col("docs") + (a + b)))
+    return shrunk.withColumn("odds", rate / (1 - rate) / general)
 
 
 def host_rules(
     docs: DataFrame, carry: list[str], text_col: str = "text", host_col: str = "source", limit: float = MAX_HOST_RATE
 ) -> DataFrame:
-    """Per document: ``row`` (a struct of the carried columns), the five measures, ``host_rate_over``, ``base_failed``, ``kept``.
+    """Per document: ``row`` (a struct of the carried columns), the five measures, ``host_rate_over``, ``base_failed``, ``kept``, ``stays``.
 
     A null text has no words and fails; a null host counts as the host with
     the empty name.  Repeated rows are judged each by itself.
@@ -146,17 +163,18 @@ def host_rules(
         ),
         "measured",
     )
-    # written, so that Spark knows the size and broadcasts the list only if it is small
-    over = written(host_rates(measured).filter(F.col("rate") >= limit).select(F.col("host").alias("over")), "over")
-    judged = measured.join(over, F.col("host") == F.col("over"), "left")
-    strict = F.col("over").isNotNull()
+    # written, so that Spark knows the size and broadcasts the hosts only if they are few
+    rates = written(host_rates(measured).select(F.col("host").alias("of"), "rate", "odds"), "rates")
+    judged = measured.join(rates, F.col("host") == F.col("of"))
+    over = F.col("rate") >= limit
     return judged.select(
-        "row", *MEASURES, strict.alias("host_rate_over"), base_failed().alias("base_failed"),
-        (~base_failed() & ~(strict & strict_failed())).alias("kept"),
+        "row", *MEASURES, over.alias("host_rate_over"), base_failed().alias("base_failed"),
+        (~base_failed() & ~(over & strict_failed())).alias("kept"),
+        (~base_failed() & ~(strict_failed() & (excess() * F.col("odds") >= 1))).alias("stays"),
     )
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     judged = host_rules(docs, docs.columns, text_col, host_col)
-    return judged.filter("kept").select("row.*").toDF(*docs.columns)
+    return judged.filter("stays").select("row.*").toDF(*docs.columns)
