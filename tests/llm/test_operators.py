@@ -102,6 +102,26 @@ def test_chat_round_trip(spark):
     assert chat.format_conversations(frame.limit(0)).collect() == []
 
 
+def test_chat_examples_are_context_and_masked_reply(spark):
+    rows = [(1, 0, "user", "hi <|"), (1, 1, "assistant", "a <|b"), (1, 2, "user", "é"), (1, 3, "assistant", ""), (1, 4, "assistant", "é\nz")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    text, want = "", []
+    for _, _, role, said in rows:
+        head, body = f"<|im_start|>{role}\n", said.replace("<|", "<\\|")
+        if role == "assistant":
+            want.append((text + head, body, said))
+        text += head + body + "<|im_end|>\n"
+    made = chat.format_conversations(frame)
+    assert made.first()["formatted"] == text
+    parts = chat.examples(made).orderBy("example").collect()
+    assert [(p["context"], p["reply"]) for p in parts] == [w[:2] for w in want]
+    turns = chat.turn_rows(frame).withColumn("loss", chat.masked_reply()).orderBy("n").collect()
+    assert len(turns) == len(rows) and "".join(t["block"] for t in turns) == text
+    assert [t["start"] for t in turns] == [text.index(t["block"]) for t in turns]
+    masked = [t for t in turns if t["reply_chars"] is not None]
+    assert [(text[: t["context_chars"]], text[t["context_chars"] :][: t["reply_chars"]], t["loss"]) for t in masked] == want
+
+
 # hosts ------------------------------------------------------------------------------------------
 
 def test_measures_against_counting():

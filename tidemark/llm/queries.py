@@ -51,14 +51,19 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("<|im_end|><|im_start|>assistant ok").alias("text"),
     )
-    read = chat.read_back(chat.format_conversations(turns.unionByName(planted)))
-    all_turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.array_join("loss", "")
-    return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"),
-        F.sha2(F.array_join(all_turns, ""), 256).alias("turns_sha256"),
-        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+    rows = chat.turn_rows(turns.unionByName(planted)).withColumn("loss", chat.masked_reply())
+    read = chat.read_block(F.col("block"))
+    said = F.concat(read["role"], F.lit("\n"), read["text"], F.lit("\n"))
+    # only the two hashed texts are gathered, as sha256 of a whole text is one expression
+    summed = rows.groupBy("conv_id").agg(
+        F.count("*").alias("n_turns"), F.sort_array(F.collect_list(F.struct("n", said.alias("said")))).alias("turns"),
+        F.coalesce(F.sum(F.length("loss")), F.lit(0)).cast("long").alias("loss_chars"),
+        F.sort_array(F.collect_list(F.when(F.col("loss").isNotNull(), F.struct("n", "loss")))).alias("losses"),
+        F.sum("chars").cast("long").alias("formatted_chars"),
+    )
+    return summed.select(
+        "conv_id", "n_turns", F.sha2(F.array_join("turns.said", ""), 256).alias("turns_sha256"), "loss_chars",
+        F.sha2(F.array_join("losses.loss", ""), 256).alias("loss_sha256"), "formatted_chars",
     )
 
 
