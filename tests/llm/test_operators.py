@@ -122,6 +122,12 @@ def test_chat_examples_are_context_and_masked_reply(spark):
     assert [(text[: t["context_chars"]], text[t["context_chars"] :][: t["reply_chars"]], t["loss"]) for t in masked] == want
 
 
+def test_chat_turn_rows_gather_no_conversation(spark, plan_of):
+    frame = spark.createDataFrame([(1, 0, "user", "a")], "conv_id bigint, turn bigint, role string, text string")
+    assert "collect_list" in plan_of(chat.format_conversations(frame))
+    assert "Aggregate" not in plan_of(chat.turn_rows(frame))
+
+
 # hosts ------------------------------------------------------------------------------------------
 
 def test_measures_against_counting():
