@@ -45,6 +45,20 @@ def test_same_as_plain_scan(docs):
     assert got == {n: plain(text) for n, text in enumerate(TEXTS)}
 
 
+def test_gaps_take_any_words(docs):
+    holder = "The Regents of the University of California and the named contributors to it"
+    texts = [
+        "Copyright 2020 Müller GmbH. All rights reserved", "Creative Commons Attribution 3.0 España License",
+        f"Copyright (c) 2019, 2020 {holder}. All rights reserved.", "May not be reproduced für ähnliche Zwecke without schriftliche permission",
+        "Copyright 2020 A. All rights reserved. Copyright 2021 B. All rights reserved.", "do what the ƒ*ück you want to public license 2",
+    ]
+    got = {row[0]: tuple(row[1:]) for row in license_scan(docs(texts)).collect()}
+    assert got == {n: plain(text) for n, text in enumerate(texts)}
+    assert got[0][5] == got[2][5] == got[4][5] == "reserved,reserved-by-copyright"
+    assert got[1][5] == "cc-by-3.0" and got[3][5] == "no-reproduction"
+    assert got[4][6] == 4 / 5  # two notices and two base places
+
+
 def test_tables_of_the_driver(spark, sf):
     frame = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {row["doc_id"]: row["text"] for row in frame.collect()}

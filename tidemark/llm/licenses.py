@@ -22,6 +22,10 @@ from tidemark.llm.common import ascii_lower, id_and_text
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: Any word in a rule; words may hold characters beyond ASCII, which Java's ``\w`` leaves out.
+WORD = "[^ ]+"
+HOLDER = 30  # words of a copyright holder at most; the nearest end of the notice counts
+
 #: Phrases and labels that every scan reports.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
@@ -42,7 +46,7 @@ def _creative_commons() -> list[Rule]:
         for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
             name = f"{label}-{version.replace(' ', '.')}"
             rules.append(Rule("cc", name, f"cc {short} {version}"))
-            rules.append(Rule("commons", name, f"creative commons {long}(?: license)? {version}(?: \\w+)? (?:license|licence)"))
+            rules.append(Rule("commons", name, f"creative commons {long}(?: license)? {version}(?: {WORD})? (?:license|licence)"))
             rules.append(Rule("licenses", name, f"licenses {short} {version}"))
         rules.append(Rule("cc", label, f"cc {short}(?: license)?"))
         rules.append(Rule("commons", label, f"creative commons {long}(?: license)?"))
@@ -113,7 +117,7 @@ def _named() -> list[Rule]:
         ("openrail", "responsible ai", "responsible ai licen[sc]e", ("1 0",)),
         ("mulan-psl", "mulan", "mulan permissive software licen[sc]e", ("1", "2")),
         ("upl", "universal permissive", "universal permissive licen[sc]e", ("1 0",)),
-        ("wtfpl", "do what the", "do what the \\w+ you want to public licen[sc]e", ("1", "2")),
+        ("wtfpl", "do what the", f"do what the {WORD} you want to public licen[sc]e", ("1", "2")),
     )
     rules = []
     for label, keyword, wording, versions in families:
@@ -143,15 +147,15 @@ def _wordings() -> list[Rule]:
         Rule("public domain", "public-domain", "(?:released into|in|dedicated to) the public domain"),
         Rule("rights reserved", "reserved", "all rights (?:are )?reserved"),
         Rule("rights reserved", "some-rights-reserved", "some rights reserved"),
-        Rule("rights reserved", "reserved-by-copyright", "copyright (?:c )?\\d{4}(?: \\d{4})?(?: \\w+){1,6} all rights reserved"),
+        Rule("rights reserved", "reserved-by-copyright", f"copyright (?:c )?\\d{{4}}(?: \\d{{4}})?(?: {WORD}){{1,{HOLDER}}}? all rights reserved"),
         Rule("proprietary", "proprietary", "proprietary and confidential"),
         Rule("proprietary", "proprietary", "proprietary licen[sc]e"),
         Rule("unauthorized copying", "proprietary", "unauthorized copying of this file via any medium is strictly prohibited"),
-        Rule("may not be reproduced", "no-reproduction", "may not be reproduced(?: \\w+){0,8} without(?: \\w+){0,3} permission"),
+        Rule("may not be reproduced", "no-reproduction", f"may not be reproduced(?: {WORD}){{0,8}} without(?: {WORD}){{0,3}} permission"),
         Rule("personal use only", "personal-use", "for personal use only"),
         Rule("commercial use", "non-commercial", "(?:not for|no) commercial use"),
         Rule("evaluation", "evaluation", "for evaluation purposes only"),
-        Rule("spdx", "spdx-tag", "spdx license identifier(?: \\w+){1,3}"),
+        Rule("spdx", "spdx-tag", f"spdx license identifier(?: {WORD}){{1,3}}"),
     ]
 
 
