@@ -272,6 +272,19 @@ def test_site_quality_on_held_out_rows(spark):
     assert sum(bool(q) == k for q, k in rows) >= 0.97 * len(rows)
 
 
+def test_site_posterior_counts_in_full(spark):
+    rows = [(n, "good words in a line " * 5, "a", "p") for n in range(50)]
+    rows += [(100 + n, "### $$$ !!! " * 8, "b", "p") for n in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    labels = spark.createDataFrame([(n, int(n < 100)) for n in [*range(50), *range(100, 150)]], "doc_id bigint, quality int")
+    got = sites.site_quality(docs, labels).collect()
+    odds = lambda p: np.log(p / (1 - p))
+    general = (sum(r["evidence"] for r in got) + 0.5) / (len(got) + 1)
+    shifts = [odds(r["posterior"]) - odds(r["evidence"]) for r in got]
+    assert np.allclose(shifts, [odds(r["path_rate"]) - odds(general) for r in got], atol=1e-6)
+    assert min(shifts) < -1.5 and max(shifts) > 1.5
+
+
 def test_sparse_sites_are_shrunk_towards_their_host(spark):
     rows = [(n, "good words in a line " * 5, "a", "p" if n else "q") for n in range(50)]
     rows += [(100 + n, "### $$$ !!! " * 8, "b", "p") for n in range(50)] + [(200, None, None, None)]

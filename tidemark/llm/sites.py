@@ -22,7 +22,6 @@ from tidemark.session import written
 
 SAMPLE = 20_000  # labelled rows the classifier is fitted on
 LIMIT = 0.5
-MAX_SHIFT = 1.0  # log-odds a site can add or take: a site never outvotes clear evidence
 NAMES = ("log_words", "word_length", "distinct", "symbols", "upper", "marks", "digits", "lines", "sentences", "same_lines")
 
 
@@ -154,7 +153,6 @@ def site_quality(
     )
     joined = judged.join(sites, equal_keys(judged, sites, {"host": "h", "path": "p"}))
     shift = _logit(F.col("path_rate")) - F.lit(float(np.log(general / (1 - general))))
-    shift = F.greatest(F.lit(-MAX_SHIFT), F.least(F.lit(MAX_SHIFT), shift))
     posterior = 1 / (1 + F.exp(-(_logit(F.col("evidence")) + shift)))
     return joined.select("doc_id", "evidence", "host_rate", "path_rate", posterior.alias("posterior")).withColumn(
         "kept", F.col("posterior") >= limit
