@@ -32,6 +32,15 @@ def lake(path, n=4):
     return LakeTable(str(path), ("k",), md5_bucket("k", n).cast("string"), "d")
 
 
+def test_upsert_keeps_columns_new_in_the_source(spark, tmp_path):
+    table = LakeTable(str(tmp_path / "t"), ("k",), F.col("k").substr(1, 1), "d")
+    table.upsert(spark.createDataFrame([("a1", 1), ("a2", 1), ("b1", 1)], "k string, d int"))
+    table.upsert(spark.createDataFrame([("a1", 2, "x")], "k string, d int, extra string"))
+    table.upsert(spark.createDataFrame([("b2", 3, "y")], "k string, d int, extra string"))
+    got = {r["k"]: (r["d"], r["extra"]) for r in table.read(spark).collect()}
+    assert got == {"a1": (2, "x"), "a2": (1, None), "b1": (1, None), "b2": (3, "y")}
+
+
 def files(path):
     return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/partition=*/*.parquet")}
 

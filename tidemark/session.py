@@ -64,10 +64,10 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def parquet_schema(spark: SparkSession, path: str) -> StructType | None:
-    """Schema of the Parquet files below ``path``, ``None`` if there are none."""
+def parquet_schema(spark: SparkSession, path: str, merged: bool = False) -> StructType | None:
+    """Schema of the Parquet files below ``path``, ``None`` if there are none; ``merged`` looks at all files."""
     try:
-        return spark.read.parquet(path).schema
+        return spark.read.option("mergeSchema", str(merged).lower()).parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
