@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, simhash, sites, suffixes, toxicity
+from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, periods, simhash, sites, suffixes, toxicity
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,3 +180,21 @@ def op1_ordinal_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_site_quality")
 def op9_site_quality(spark: SparkSession, folder: str) -> DataFrame:
     return sites.site_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of op11: by the hash of the id, a tenth of the documents end in a repeated passage."""
+    number = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if number % 10 or not words:
+        return words
+    n, g = len(words), number // 10
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    times = -(-(n - start) // period)
+    return words[:start] + (words[start : start + period] * times)[: n - start]
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return periods.periodic_runs(docs, least=4, shortest=6, digests=True, alter=repeated_tail)
