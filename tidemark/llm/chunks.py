@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+
 #: White space other than space and line feed.
 _ODD = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _CLEAN = re.compile(r"(?<=\S) (?=\S)")
@@ -57,3 +59,25 @@ class Memo(dict):
         if len(self) >= self.most:
             self.clear()
         self[key] = value
+
+
+class Parts:
+    """The parts of several texts, each different one once."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+        self.texts: list[np.ndarray] = []
+
+    def add(self, parts: list[str]) -> None:
+        """The parts of the next text."""
+        put, known = self.numbers.setdefault, self.numbers
+        self.texts.append(np.array([put(p, len(known)) for p in parts], np.int64))
+
+    def different(self) -> list[str]:
+        return list(self.numbers)
+
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of all parts in turn: the number of the part among the different ones, and that of its text."""
+        if not self.texts:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate(self.texts), np.repeat(np.arange(len(self.texts)), [len(t) for t in self.texts])

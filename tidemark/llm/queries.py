@@ -7,7 +7,9 @@ from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import bpe, chat, exact, hosts, licenses, packing, periods, simhash, sites, suffixes, toxicity
+from tidemark.llm import (
+    alignment, bpe, chat, exact, hosts, licenses, packing, periods, simhash, sites, suffixes, toxicity,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +200,12 @@ def repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return periods.periodic_runs(docs, least=4, shortest=6, digests=True, alter=repeated_tail)
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.align_tokenizers(table(spark, folder, "documents"), *paths, digests=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
