@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.chunks import Parts, clean_parts
-from tidemark.llm.common import documents_of, id_and_text
+from tidemark.llm.common import documents_of, id_and_text, packed, unpacked
 from tidemark.session import written
 
 SPACE = "▁"  # stands for a space in the pieces of B
@@ -256,17 +256,6 @@ class Speller:
         return [bytes(data[x:y]) for x, y in zip(edges, edges[1:])]
 
 
-def packed(numbers: np.ndarray) -> bytes:
-    """Whole numbers below ``2 ** 32`` as compressed bytes, low bytes first of all."""
-    planes = np.ascontiguousarray(numbers.astype("<u4")).view(np.uint8).reshape(-1, 4).T
-    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
-
-
-def unpacked(raw: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(raw, 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-
-
 BLOCKS = pa.schema([
     ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())),
     ("n_b", pa.list_(pa.int64())), ("n_groups", pa.list_(pa.int64())), ("n_links", pa.list_(pa.int64())),

@@ -8,7 +8,7 @@ from zlib import crc32
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    alignment, bpe, chat, exact, hosts, licenses, packing, periods, simhash, sites, suffixes, toxicity,
+    alignment, bpe, chat, exact, hosts, katz, licenses, packing, periods, simhash, sites, suffixes, toxicity,
 )
 from tidemark.llm.common import table
 
@@ -209,3 +209,13 @@ def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     found = alignment.align_tokenizers(table(spark, folder, "documents"), *paths, digests=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op12_katz_backoff")
+def op12_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # a tenth of the documents by the hash of the id is held out; a null id counts as an empty one
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    held_out = (number % 10 == 0).alias("held_out")
+    scored = katz.score(docs, katz.fit(docs.filter(~held_out)))
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
