@@ -31,7 +31,7 @@ from tidemark.llm.common import documents_of, id_and_text, packed, unpacked
 from tidemark.session import written
 
 SPACE = "▁"  # stands for a space in the pieces of B
-BLOCK_CHARS = 6_000_000  # a block ends after the text that reaches this
+BLOCK_CHARS = 3_000_000  # a block ends after the text that reaches this
 STEPS = 65_536  # merge steps of a piece
 CHUNK = 1 << 16  # characters encoded in one call
 EXPANDED = 4096  # links of a group that are listed one by one; of larger groups, different pairs with their number
