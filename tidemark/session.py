@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,9 +52,71 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+class Scratch:
+    """Folders of the shared folder with one life time.
+
+    Paths handed out inside ``collect`` belong to it and go with ``drop``.
+    What still reads from them must be finished by then; ``keep`` leaves the
+    folders that a frame reads to the scope around.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    @contextmanager
+    def collect(self) -> Iterator[Scratch]:
+        outer = _SCOPE.set(self)
+        try:
+            yield self
+        finally:
+            _SCOPE.reset(outer)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        files, outer = [_plain(f) for f in df.inputFiles()], _SCOPE.get()
+        used = [p for p in self.paths if any(f.startswith(_plain(p) + "/") for f in files)]
+        self.paths = [p for p in self.paths if p not in used]
+        if outer is not None and outer is not self:
+            outer.paths += used
+        return df
+
+    def drop(self, spark: SparkSession) -> None:
+        gone, self.paths = self.paths, []
+        for path in gone:
+            delete_path(spark, path)
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+def _plain(path: str) -> str:
+    """A path without its scheme and doubled slashes, to compare by."""
+    return "/" + path.split(":", 1)[-1].lstrip("/")
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through its file system; false if there was none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope whose folders are deleted at its end, also after an error."""
+    scope = Scratch()
+    try:
+        with scope.collect():
+            yield scope
+    finally:
+        scope.drop(spark)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.paths.append(path)
+    return path
 
 
 def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
