@@ -1,7 +1,10 @@
 """The pipeline's stages, one after the other, against plain versions of what each decides."""
 
+import glob
+
 import corpus_pipeline
 from tidemark.llm import exact, hosts
+from tidemark.session import shared_dir
 
 
 def test_stages(spark, sf):
@@ -31,3 +34,29 @@ def test_stages(spark, sf):
     assert kept == sorted(kept, reverse=True) and kept[-1] > 0
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert pieces.select("doc_id").distinct().count() == kept[-1]
+
+
+def test_run_leaves_only_what_its_result_reads(spark, sf):
+    place = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{place}/*"))
+    result = corpus_pipeline.run(spark, sf)
+    left = {path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path in set(glob.glob(f"{place}/*")) - before}
+    assert left == {"pieces", "counts"}
+    assert result.select("doc_id").distinct().count() > 100
+    corpus_pipeline.LAST.drop(spark)
+    assert set(glob.glob(f"{place}/*")) <= before
+
+
+def test_stages_on_odd_rows(spark):
+    schema = "doc_id bigint, text string, lang string, source string, uid int, c0 string"
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, long, "en", None, 1, "x"), (1, long, "en", None, 2, "y"), (None, None, None, "s", 3, None), (3, "", "en", "s", 4, "z"),
+            (4, " ".join(f"other{i}" for i in range(60)), "en", "s", 5, "z")]
+    for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = frame
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, "")
+            assert out.dtypes == frame.dtypes
+            docs = spark.createDataFrame(out.collect(), schema)
+        assert sorted(r["doc_id"] for r in docs.collect()) == ([1, 4] if frame.count() else [])
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()

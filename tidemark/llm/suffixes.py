@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import Rows, documents_of, id_and_text, numbered
 from tidemark.operators.joins import equal_keys
-from tidemark.session import written
+from tidemark.session import Scratch, written
 
 SPAN = 200  # bytes
 GRAM = 48
@@ -253,7 +253,9 @@ def _verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeat_marks(packed: DataFrame, block: int = BLOCK) -> DataFrame:
     """``of, spans`` per document with repeats: spans are (first, runs), the runs relative to ``first``."""
-    anchors = written(packed.select("uid", "z").mapInArrow(_anchors, "uid bigint, key bigint"), "anchors")
+    early = Scratch()
+    with early.collect():
+        anchors = written(packed.select("uid", "z").mapInArrow(_anchors, "uid bigint, key bigint"), "anchors")
     common = anchors.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("key", "common")
     shared = anchors.join(common, equal_keys(anchors, common, {"key": "common"}))
     lists = shared.groupBy(F.col("uid").alias("of")).agg(F.collect_set(F.struct("key", "n")).alias("marked"))
@@ -264,6 +266,7 @@ def repeat_marks(packed: DataFrame, block: int = BLOCK) -> DataFrame:
         ),
         "fragments",
     )
+    early.drop(packed.sparkSession)
     met = pieces.filter("fragment IS NOT NULL").select("key", "block", "blocks", "fh", "n", "fragment")
     met = met.repartition("key", "block").sortWithinPartitions("key", "block")
     verdicts = written(met.mapInArrow(_verdicts, "fh binary, runs binary, window binary, place int"), "verdicts")
