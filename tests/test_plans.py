@@ -17,8 +17,8 @@ from tidemark.plans import control as ctl, delivery, delta_job as job, jobs
 from tidemark.plans.export import Export
 from tidemark.plans.lake import LakeTable
 from tidemark.plans.reports import SavedReport, order_report
-from tidemark.plans.sync import FrameSource, bookmark_between, sync_table
-from tidemark.session import scratch_path
+from tidemark.plans.sync import FrameSource, bookmark_between, lake_table, sync_table
+from tidemark.session import scratch_path, shared_dir
 from tidemark.specs import StreamSpec, TableSpec
 
 SCHEMA = "k string, d int, v string"
@@ -42,7 +42,7 @@ def test_upsert_keeps_columns_new_in_the_source(spark, tmp_path):
 
 
 def files(path):
-    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/partition=*/*.parquet")}
+    return {f: os.path.getmtime(f) for f in glob.glob(f"{path}/**/partition=*/*.parquet", recursive=True)}
 
 
 def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
@@ -127,7 +127,7 @@ def test_sync_runs(spark, tmp_path):
         return sync_table(FrameSource(spark.createDataFrame(rows, SCHEMA), SPEC), SPEC, store, target)
 
     def table():
-        return rows_of(spark.read.parquet(target).select("k", "d", "v"))
+        return rows_of(lake_table(SPEC, target).read(spark).select("k", "d", "v"))
 
     rows = [("a", 9, "x"), ("b", 10, "y")]
     assert run(rows) == 2
@@ -510,3 +510,145 @@ def test_stream_log(spark, tmp_path):
     store = ctl.ControlStore(spark, str(tmp_path / "control"))
     store.log_stream(StreamSpec(topic="t", alias="a", bookmark="b", primaryKey="k"), "r", ctl.STARTED)
     assert store.read("stream_log").first()["topic"] == "t"
+
+
+# the catalog, kept schemas, publishing ----------------------------------------------------------
+
+def first(name):
+    """Buckets by the first letter of the key."""
+    return LakeTable(name, ("k",), F.col("k").substr(1, 1), "d")
+
+
+def test_types_widen_and_nothing_else_changes(spark, tmp_path):
+    make, table = spark.createDataFrame, first(str(tmp_path / "t"))
+    table.upsert(make([("a1", 1, 5, True), ("b1", 1, 6, True)], "k string, d int, v int, f boolean"))
+    table.upsert(make([("a1", 2, 2**40, False)], "k string, d int, v bigint, f boolean"))  # read as bigint from the old files
+    table.upsert(make([("b2", 2, 0.5, True)], "k string, d int, v double, f boolean"))  # all buckets go through a cast
+    table.upsert(make([("a2", 2, 7, True)], "k string, d int, v int, f boolean"))  # a narrower batch fits
+    want = {"a1": float(2**40), "b1": 6.0, "b2": 0.5, "a2": 7.0}
+    assert {r["k"]: r["v"] for r in table.read(spark).collect()} == want
+    table.upsert(make([("c1", 3, "text", True)], "k string, d int, v string, f boolean"))
+    texts = {"a1": "1.099511627776E12", "b1": "6.0", "b2": "0.5", "a2": "7.0", "c1": "text"}
+    assert {r["k"]: r["v"] for r in table.read(spark).collect()} == texts
+    before = rows_of(table.read(spark))
+    with pytest.raises(ValueError, match="column f is boolean in the table and cannot become string"):
+        table.upsert(make([("a1", 9, "x", "yes")], "k string, d int, v string, f string"))
+    with pytest.raises(ValueError, match="lacks columns of the table: f"):
+        table.merge(make([("a1", 9, "x")], "k string, d int, v string"))
+    assert rows_of(table.read(spark)) == before
+    assert table.schema(spark).simpleString() == "struct<k:string,d:int,v:string,f:boolean,partition:string>"
+
+
+def test_a_changed_override_keeps_the_table_readable(spark, tmp_path):
+    store, path = ctl.ControlStore(spark, str(tmp_path / "c")), str(tmp_path / "t")
+    rows = [(str(n), n, str(n)) for n in range(20)]
+
+    def run(more=()):
+        return sync_table(FrameSource(spark.createDataFrame([*rows, *more], SCHEMA), SPEC), SPEC, store, path)
+
+    assert run() == 20
+    for kind in ("double", "int", "bigint"):
+        store.register(SPEC, "{}", spark.createDataFrame([], SCHEMA).schema, {"v": kind})
+        assert run([("new", 30, "7")]) > 0
+    found = {r["k"]: r["v"] for r in lake_table(SPEC, path).read(spark).collect()}
+    assert len(found) == 21 and float(found["new"]) == 7
+    assert store.read("run_log").filter(F.col("notes") == ctl.FAILED).count() == 0
+
+
+def test_merge_keeps_columns_new_in_the_source(spark, tmp_path):
+    make, table = spark.createDataFrame, first(str(tmp_path / "t"))
+    table.merge(make([("a1", 1), ("b1", 1)], "k string, d int"))
+    table.merge(make([("a1", 2, "x"), ("a2", 2, "y")], "k string, d int, extra string"))
+    assert rows_of(table.read(spark).select("k", "d", "extra")) == [("a1", 2, "x"), ("a2", 2, "y"), ("b1", 1, None)]
+
+
+def test_stop_between_write_and_switch(spark, tmp_path, monkeypatch):
+    store, path = ctl.ControlStore(spark, str(tmp_path / "c")), str(tmp_path / "t")
+    old = [(str(n), n, "old") for n in range(40)]
+    new = [(str(n), 100 + n, "new") for n in range(40)]
+
+    def run(rows):
+        return sync_table(FrameSource(spark.createDataFrame(rows, SCHEMA), SPEC), SPEC, store, path)
+
+    run(old)
+    before = rows_of(lake_table(SPEC, path).read(spark))
+    switch, moved = LakeTable._switch, []
+
+    def stopped(self, *args):
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(LakeTable, "_switch", stopped)
+    with pytest.raises(RuntimeError):
+        run(new)
+    assert rows_of(lake_table(SPEC, path).read(spark)) == before
+    assert store.bookmark(SPEC.key) == "39"
+
+    # stopped after the first of the buckets: every bucket is old or new as a whole
+    from tidemark.sources import catalog
+    move = catalog.move_partition
+
+    def one(*args):
+        if moved:
+            raise RuntimeError("the driver is gone")
+        moved.append(args)
+        move(*args)
+
+    monkeypatch.setattr(LakeTable, "_switch", switch)
+    monkeypatch.setattr(catalog, "move_partition", one)
+    with pytest.raises(RuntimeError):
+        run(new)
+    mixed = lake_table(SPEC, path).read(spark)
+    assert mixed.count() == 40 and mixed.groupBy("partition").agg(F.count_distinct("v").alias("n")).filter("n > 1").count() == 0
+    monkeypatch.setattr(catalog, "move_partition", move)
+    assert run(new) == 40
+    assert rows_of(lake_table(SPEC, path).read(spark).select("k", "v")) == sorted((str(n), "new") for n in range(40))
+
+
+def test_sync_registers_exactly_its_touched_partitions(spark, tmp_path):
+    store, path = ctl.ControlStore(spark, str(tmp_path / "c")), str(tmp_path / "t")
+
+    def run(rows):
+        source = FrameSource(spark.createDataFrame(rows, SCHEMA), SPEC)
+        sync_table(source, SPEC, store, path, name="synced_orders")
+        return {r[0] for r in spark.sql("SHOW PARTITIONS synced_orders").collect()}
+
+    assert len(run([("a", 1, "x")])) == 1
+    (tmp_path / "t" / "partition=stray").mkdir()  # a folder nobody published
+    shown = run([(c, 2, "y") for c in "abcdefgh"])
+    buckets = spark.table("synced_orders").select("partition").distinct().collect()
+    assert len(shown) > 1 and shown == {f"partition={r[0]}" for r in buckets}
+    assert rows_of(spark.table("synced_orders").select("k", "v")) == [(c, "y") for c in "abcdefgh"]
+    spark.sql("DROP TABLE synced_orders")
+
+
+def test_old_versions_go_and_a_lost_catalog_is_rebuilt(spark, tmp_path):
+    table = first(str(tmp_path / "t"))
+    for n in range(6):
+        table.upsert(spark.createDataFrame([("a1", n, "x"), (f"b{n}", n, "y")], SCHEMA))
+    assert len(list((tmp_path / "t").glob("**/partition=a"))) == 2
+    assert len(list((tmp_path / "t" / "_versions").iterdir())) == 2
+    want = rows_of(table.read(spark))
+    unfinished = tmp_path / "t" / "_versions" / "99999999999999999999" / "partition=a"
+    unfinished.mkdir(parents=True)
+    spark.sql(f"DROP TABLE {table.table}")
+    assert rows_of(first(str(tmp_path / "t")).read(spark)) == want
+    # stopped between the two steps of a change of types
+    spark.sql(f"ALTER TABLE {table.table} RENAME TO {table.table}__next")
+    assert rows_of(table.read(spark)) == want
+
+
+def test_upsert_opens_no_file_for_the_schema(spark, tmp_path):
+    table = first(str(tmp_path / "t"))
+    table.upsert(spark.createDataFrame([("a1", 1, "x")], SCHEMA))
+    for file in (tmp_path / "t").glob("partition=*/*.parquet"):
+        file.write_bytes(b"not parquet")
+    assert table.schema(spark).names == ["k", "d", "v", "partition"]
+
+
+def test_scratch_goes_with_the_upsert(spark, tmp_path):
+    table = first(str(tmp_path / "t"))
+    place = shared_dir(spark).removeprefix("file:")
+    before = set(glob.glob(f"{place}/*"))
+    for n in range(3):
+        table.upsert(spark.createDataFrame([("a1", n, "x")], SCHEMA))
+    assert set(glob.glob(f"{place}/*")) == before

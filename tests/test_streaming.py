@@ -134,6 +134,38 @@ def test_numeric_bookmark_and_bad_records(spark, tmp_path, folder):
     }
 
 
+def test_replayed_batch_starts_no_upsert(spark, tmp_path, folder, monkeypatch):
+    from tidemark.plans import lake
+    from tidemark.plans.control import ControlStore
+
+    store, table, checkpoint = ControlStore(spark, str(tmp_path / "log")), upsert.stream_table(SPEC, str(tmp_path / "t")), str(tmp_path / "c")
+    schema = spark.createDataFrame([], RECORD).schema
+
+    def go():
+        run(upsert.upsert_stream(record_stream(spark, folder), SPEC, schema, table, checkpoint, once=True, control=store))
+
+    staged, stage = [], lake.LakeTable.stage
+    monkeypatch.setattr(lake.LakeTable, "stage", lambda self, changes: staged.append(1) or stage(self, changes))
+    for n in range(3):
+        add_records(spark, folder, [("1", "2024-01-01 1%d:00" % n, "v%d" % n)])
+        go()
+    assert len(staged) == 2  # each batch after the first load is written to the shared folder once
+    once, log = rows_of(table.read(spark)), store.read("stream_log").count()
+    # the driver stopped after the publish, before the batch was committed
+    for name in ("2", ".2.crc"):
+        (tmp_path / "c" / "commits" / name).unlink(missing_ok=True)
+    go()
+    assert len(staged) == 2 and rows_of(table.read(spark)) == once
+    log = store.read("stream_log").collect()
+    assert sorted((r["hash"], r["notes"]) for r in log) == sorted(
+        (str(n), note) for n in range(3) for note in ("started the run", "the last run passed")
+    )
+    # a new checkpoint is a new stream: its batches count from zero and are not skipped
+    add_records(spark, folder, [("2", "2024-01-01 10:00", "late")])
+    run(start(spark, folder, table, str(tmp_path / "c2")))
+    assert {r["id"] for r in table.read(spark).collect()} == {"1", "2"}
+
+
 def test_partition_column_given(spark, tmp_path, folder):
     spec = StreamSpec(topic="t", alias="a", bookmark="ts", primaryKey="id", partitionCol="v")
     table = upsert.stream_table(spec, str(tmp_path / "t"))

@@ -11,7 +11,7 @@ from tidemark.functions.buckets import md5_bucket
 from tidemark.functions.convert import REPORT, conversion_targets, convert_target_types, rejects
 from tidemark.plans.control import DEFAULT_BOOKMARK, FAILED, PASSED, STARTED, ControlStore
 from tidemark.plans.lake import LakeTable
-from tidemark.session import written
+from tidemark.session import scratch, written
 from tidemark.sources import jdbc
 from tidemark.specs import TableSpec
 
@@ -59,8 +59,8 @@ class JdbcSource:
         return jdbc.read_range(self.spark, self.spec, previous, current, self.split)
 
 
-def lake_table(spec: TableSpec, path: str, bookmark_type: str = "string") -> LakeTable:
-    """Target of a sync: rows bucketed by the md5 of the primary key.
+def lake_table(spec: TableSpec, path: str, bookmark_type: str = "string", name: str | None = None) -> LakeTable:
+    """Target of a sync: rows bucketed by the md5 of the primary key, a table of the catalog.
 
     Bookmarks are stored as the type rules say (mostly text) but compared
     as ``bookmark_type``, the type they have in the source.
@@ -70,6 +70,7 @@ def lake_table(spec: TableSpec, path: str, bookmark_type: str = "string") -> Lak
         keys=(spec.primaryKey,),
         bucket=md5_bucket(spec.primaryKey, spec.buckets).cast("string"),
         order_by=F.col(spec.bookmark).try_cast(bookmark_type),
+        name=name,
     )
 
 
@@ -80,12 +81,15 @@ def sync_table(
     path: str,
     newer_wins: bool = False,
     on_rows: Callable[[DataFrame], None] | None = None,
+    name: str | None = None,
 ) -> int:
     """Bring the target up to the source's newest bookmark; returns the number of changed keys.
 
-    One staged batch and one upsert job over all touched buckets.  The bookmark moves only after the target is written; a
-    repeated range is harmless.  A source without a bookmark (an empty one) is left alone, and so is the saved one.
-    ``on_rows`` receives the staged batch, e.g. to send it to a topic.
+    One staged batch and one upsert job over all touched buckets, which the catalog then points to their new files; the
+    table's ``name`` there is made of the path if none is given.  The bookmark moves only after that; a repeated range is
+    harmless.  A source without a bookmark (an empty one) is left alone, and so is the saved one.  Types widen as the
+    table's rules say; any other change of a column fails the run and leaves table and bookmark as they were.
+    ``on_rows`` receives the staged batch, e.g. to send it to a topic; its files go with the run.
     """
     run = secrets.token_hex(5)
     control.log(spec, run, STARTED)
@@ -100,16 +104,17 @@ def sync_table(
             problem = UNSUPPORTED
         else:
             overrides = control.overrides(spec.qualified)
-            if spec.treatment.lower() == REPORT:
-                rows = report_rejects(rows, spec, overrides, control, run)
-            typed = convert_target_types(rows, overrides, treatment=spec.treatment)
-            target = lake_table(spec, path, rows.schema[spec.bookmark].dataType.simpleString())
-            batch = target.stage(typed)
-            count = batch.count()
-            if count:
-                target.upsert(batch, newer_wins, staged=True)
-                if on_rows:
-                    on_rows(batch)
+            with scratch(control.spark):
+                if spec.treatment.lower() == REPORT:
+                    rows = report_rejects(rows, spec, overrides, control, run)
+                typed = convert_target_types(rows, overrides, treatment=spec.treatment)
+                target = lake_table(spec, path, rows.schema[spec.bookmark].dataType.simpleString(), name)
+                batch = target.stage(typed)
+                count = batch.count()
+                if count:
+                    target.upsert(batch, newer_wins, staged=True)
+                    if on_rows:
+                        on_rows(batch)
         control.save_bookmark(spec.key, current)
         control.log(spec, run, PASSED, problem)
         return count

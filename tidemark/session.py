@@ -99,6 +99,13 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Scratch]:
     """A scope whose folders are deleted at its end, also after an error."""
@@ -129,12 +136,11 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def parquet_schema(spark: SparkSession, path: str, merged: bool = False) -> StructType | None:
-    """Schema of the Parquet files below ``path``, ``None`` if there are none; ``merged`` looks at all files."""
+def parquet_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Schema of the Parquet files below ``path``, ``None`` if there are none."""
     try:
-        return spark.read.option("mergeSchema", str(merged).lower()).parquet(path).schema
+        return spark.read.parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
-
