@@ -1,20 +1,56 @@
-"""Ids from remembered parts equal those of whole texts."""
+"""Ids gathered from the different parts of a block equal those of whole texts."""
 
 import random
 
+import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import TokenizerIds
+from tidemark.llm import bpe, chunks, packing
 
 PIECES = [" ", "\n", "a", "the", "  ", "\n\n", "\t", "é", "　", "\xa0", "漢", "<|endoftext|>", "'s", "12", ".", "\r", "\nb"]
 
 
-def test_ids_of_odd_texts():
+def odd_texts(n):
+    rng = random.Random(1)
+    for i in range(n):
+        pool = PIECES if i % 2 else PIECES[:4] + PIECES[11:15]
+        yield "".join(rng.choice(pool) for _ in range(rng.randint(0, 25)))
+
+
+def test_ids_of_odd_texts(monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK", 40)  # few parts in a call
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encode, plain, rng = TokenizerIds(path), Tokenizer.from_file(path), random.Random(1)
-    encode.parts.most = 50  # forgets often
-    for n in range(5000):
-        pool = PIECES if n % 2 else PIECES[:4] + PIECES[11:15]
-        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 25)))
-        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    encode, plain, texts = packing.TokenizerIds(path), Tokenizer.from_file(path), list(odd_texts(5000))
+    for start in range(0, len(texts), 50):
+        some = texts[start : start + 50]
+        ids, counts = encode(some)
+        for text, own in zip(some, np.split(ids, np.cumsum(counts)[:-1])):
+            assert own.tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_two_tiers_on_odd_texts(monkeypatch):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, texts = bpe.Encoder(bpe.PerfectHash(ranks), public_tokenizers.PATTERN), list(odd_texts(3000))
+    encoder.known.most = 50  # forgets often
+    texts += ["ǅungla ªº ʰ ٣ Ⅷ word\u0301s", "x" * 1000, "don't I'LL 've"]
+    for start in range(0, len(texts), 50):
+        some = texts[start : start + 50]
+        ids, ends = encoder.encode(some)
+        for text, own, raw in zip(some, np.split(ids, ends[:-1]), encoder.decode(ids, ends)):
+            assert own.tolist() == plain.encode_ordinary(text) and bytes(raw) == text.encode()
+
+
+def test_the_memory_of_merges_is_bounded():
+    memory = chunks.Generations(100)
+    for n in range(10_000):
+        memory.put(n, n)
+        assert memory.get(n) == n and (n < 50 or memory.get(n - 50) == n - 50)
+        assert len(memory.young) + len(memory.old) <= 200
+    bpe.MERGED.clear()
+    encoder = bpe.Encoder(bpe.PerfectHash(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))), public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    encoder.encode(["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(500)) for _ in range(50)])  # no spaces at all
+    assert all(len(key) < bpe.KEPT_BYTES for key in encoder.known.young)

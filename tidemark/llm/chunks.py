@@ -31,23 +31,6 @@ def clean_parts(text: str) -> list[str]:
     return text.split(" ") if _plain(text) else _CLEAN.split(text)
 
 
-def line_parts(text: str) -> list[str]:
-    """Like ``clean_parts``, and cut before every line feed that stands alone; such a part keeps its line feed
-    and has no space in front.
-
-    A lone line feed is a pre-token of its own, so lines that begin and end
-    with common words are made of common parts.
-    """
-    if "\n\n" not in text and _plain(text):
-        return text.replace("\n", " \n").split(" ")
-    return clean_parts(text)
-
-
-def led(part: str) -> str:
-    """A part other than the first as it stands in the text."""
-    return part if part[0] == "\n" else " " + part
-
-
 class Memo(dict):
     """A dictionary that starts anew at a given size, so that a task's memory is bounded."""
 
@@ -61,17 +44,46 @@ class Memo(dict):
         self[key] = value
 
 
+class Generations:
+    """A bounded memory of two halves: what is asked for moves to the younger one, and the older one goes when that is full."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.most:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
+class Numbered(dict):
+    """Things to numbers, in order of appearance."""
+
+    def __missing__(self, thing) -> int:
+        number = self[thing] = len(self)
+        return number
+
+
 class Parts:
     """The parts of several texts, each different one once."""
 
     def __init__(self):
-        self.numbers: dict[str, int] = {}
+        self.numbers = Numbered()
         self.texts: list[np.ndarray] = []
 
-    def add(self, parts: list[str]) -> None:
-        """The parts of the next text."""
-        put, known = self.numbers.setdefault, self.numbers
-        self.texts.append(np.array([put(p, len(known)) for p in parts], np.int64))
+    def add(self, parts: list) -> None:
+        """The parts of the next text; the first may be in a tuple, to be told from the same letters after a space."""
+        self.texts.append(np.fromiter(map(self.numbers.__getitem__, parts), np.int64, len(parts)))
 
     def different(self) -> list[str]:
         return list(self.numbers)
@@ -81,3 +93,31 @@ class Parts:
         if not self.texts:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         return np.concatenate(self.texts), np.repeat(np.arange(len(self.texts)), [len(t) for t in self.texts])
+
+
+class Pool:
+    """Numbers of many things, one after the other, to be taken many at once."""
+
+    def __init__(self, arrays: list[np.ndarray], counts: np.ndarray):
+        self.values = np.concatenate(arrays) if arrays else np.empty(0, np.int64)
+        self.counts = counts
+        self.starts = np.cumsum(counts) - counts
+
+    def take(self, things: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of a sequence of things, and how many each has."""
+        counts = self.counts[things]
+        places = np.repeat(self.starts[things] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        return self.values[places], counts
+
+
+def blocks_of(rows, limit: int):
+    """Lists of (id, text) of some ``limit`` characters; a longer text is in a list with what came before it."""
+    waiting, size = [], 0
+    for doc_id, text in rows:
+        waiting.append((doc_id, text))
+        size += len(text) + 64
+        if size >= limit:
+            yield waiting
+            waiting, size = [], 0
+    if waiting:
+        yield waiting

@@ -6,13 +6,9 @@ the data, and the verdict on the host goes back to its documents.
 
 Two sets of rules are used.  A document that breaks a base rule always goes,
 one that breaks no rule always stays, wherever it comes from.  For one that
-breaks strict rules only there are two verdicts:
-
-``kept``, the one of the query's SQL, lets it go on hosts whose shrunk rate
-reaches a fixed limit.  ``stays``, the one of the filter, weighs how far it
-exceeds the rules against the odds of its host, as a multiple of the general
-odds of the fitted prior: at twice the limits it still goes from a host with
-half the general odds.
+breaks strict rules only, how far it exceeds them is weighed against the odds
+of its host, as a multiple of the general odds of the fitted prior: at twice
+the limits it still goes from a host with half the general odds.
 """
 
 from __future__ import annotations
@@ -31,7 +27,6 @@ from tidemark.llm.common import Rows, documents_of, numbered
 from tidemark.session import written
 
 WINDOW = 5  # words
-MAX_HOST_RATE = 0.5  # shrunk rate of failures from which a host is on strict rules
 _BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -140,12 +135,15 @@ def host_rates(measured: DataFrame) -> DataFrame:
 
 
 def host_rules(
-    docs: DataFrame, carry: list[str], text_col: str = "text", host_col: str = "source", limit: float = MAX_HOST_RATE
+    docs: DataFrame, carry: list[str], text_col: str = "text", host_col: str = "source"
 ) -> DataFrame:
-    """Per document: ``row`` (a struct of the carried columns), the five measures, ``host_rate_over``, ``base_failed``, ``kept``, ``stays``.
+    """Per document: ``row`` (a struct of the carried columns), the five measures, ``base_failed``, ``host_rate``, ``kept``.
 
     A null text has no words and fails; a null host counts as the host with
-    the empty name.  Repeated rows are judged each by itself.
+    the empty name.  Repeated rows, also with the same id, are judged each by
+    itself; an empty table gives no rows; columns that are not carried are
+    dropped, whatever their names.  A text is measured whole in one task, with
+    some 100 bytes a word.
     """
     flat, place = numbered(docs), {c: f"c{i}" for i, c in enumerate(docs.columns)}
     source = flat.select(
@@ -166,15 +164,13 @@ def host_rules(
     # written, so that Spark knows the size and broadcasts the hosts only if they are few
     rates = written(host_rates(measured).select(F.col("host").alias("of"), "rate", "odds"), "rates")
     judged = measured.join(rates, F.col("host") == F.col("of"))
-    over = F.col("rate") >= limit
+    kept = ~base_failed() & ~(strict_failed() & (excess() * F.col("odds") >= 1))
     return judged.select(
-        "row", *MEASURES, over.alias("host_rate_over"), base_failed().alias("base_failed"),
-        (~base_failed() & ~(over & strict_failed())).alias("kept"),
-        (~base_failed() & ~(strict_failed() & (excess() * F.col("odds") >= 1))).alias("stays"),
+        "row", *MEASURES, base_failed().alias("base_failed"), F.col("rate").alias("host_rate"), kept.alias("kept")
     )
 
 
 def quality_filter(docs: DataFrame, text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     judged = host_rules(docs, docs.columns, text_col, host_col)
-    return judged.filter("stays").select("row.*").toDF(*docs.columns)
+    return judged.filter("kept").select("row.*").toDF(*docs.columns)

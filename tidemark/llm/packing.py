@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.chunks import Memo, led, line_parts
+from tidemark.llm.chunks import Parts, Pool, blocks_of, clean_parts
 from tidemark.llm.common import Rows, documents_of, id_and_text
 from tidemark.session import written
 
 SIZE = 2048  # tokens of a sequence
 END_ID = 0  # closes every document
+BLOCK_CHARS = 6_000_000  # a block ends with the text that reaches this
+CHUNK = 1 << 16  # characters encoded in one call
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -146,11 +148,11 @@ def runs(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 
 
 class TokenizerIds:
-    """Ids by a tokenizer file, with a memory for parts of texts that repeat.
+    """Ids of the texts of a block by a tokenizer file; every different part of them is encoded once.
 
-    The parts of a text that are not in the memory are encoded as one text.
-    No token reaches across parts, so the bytes a token stands for tell where
-    the ids of each part end.
+    Parts that begin and end with other characters than white space are
+    encoded many in one call, with spaces between.  No token reaches across
+    parts, so the bytes a token stands for tell where the ids of each part end.
     """
 
     def __init__(self, path: str):
@@ -158,33 +160,51 @@ class TokenizerIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side; no threads within one
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Memo(750_000)  # some 150 MB
         # a byte-level vocabulary writes every byte as one character
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.bytes_of[number] = len(token)
 
-    def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        first, *rest = line_parts(text)
-        known = self.parts.get
-        ids = [known(p) for p in rest]
-        new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None)) if None in ids else []
-        stood = [first, *map(led, new)]
-        found = self.tokenizer.encode_batch_fast(["".join(stood)], add_special_tokens=False)[0].ids
-        own = np.array(found, "<u4")
-        if not new:
-            return np.frombuffer(own.tobytes() + b"".join(ids), "<u4")
-        ends = np.cumsum([len(p.encode()) for p in stood])
-        stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends, side="right")).tolist()
-        raw = own.tobytes()
-        fresh = {part: raw[a:b] for part, a, b in zip(new, stops, stops[1:])}
-        for part, some in fresh.items():
-            if len(part) < 64:
-                self.parts.put(part, some)
-        return np.frombuffer(raw[: stops[0]] + b"".join([i if i is not None else fresh[p] for p, i in zip(rest, ids)]), "<u4")
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _together(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, each after a space, and how many each has."""
+        ids = self._ids(" " + " ".join(some))
+        ends = np.cumsum([1 + len(part.encode()) for part in some])
+        return ids, np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1, prepend=0)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        parts = Parts()
+        for text in texts:
+            first, *rest = clean_parts(text) if text else ("",)
+            parts.add([(first,), *rest])
+        different = parts.different()
+        firm = [
+            n for n, p in enumerate(different)
+            if isinstance(p, str) and len(p) < CHUNK and not (p[0].isspace() or p[-1].isspace())
+        ]
+        rest = sorted(set(range(len(different))).difference(firm))
+        found, counts = [], []
+        sizes = np.cumsum([len(different[n]) + 1 for n in firm]) // CHUNK
+        for some in np.split(np.array(firm, np.int64), np.flatnonzero(np.diff(sizes)) + 1):
+            if len(some):
+                ids, each = self._together([different[n] for n in some.tolist()])
+                found.append(ids)
+                counts.append(each)
+        for n in rest:
+            part = different[n]
+            ids = self._ids(part[0] if isinstance(part, tuple) else " " + part)
+            found.append(ids)
+            counts.append(np.array([len(ids)]))
+        place = np.empty(len(different), np.int64)
+        place[firm + rest] = np.arange(len(different))
+        pool = Pool(found, np.concatenate(counts) if counts else np.empty(0, np.int64))
+        which, owner = parts.places()
+        ids, each = pool.take(place[which])
+        return ids, np.bincount(owner, each, len(texts)).astype(np.int64)
 
 
 FIELDS = [
@@ -197,17 +217,19 @@ def _pieces(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = TokenizerIds(path), TaskContext.get().partitionId()
         numbers, out = [0] * (size + 1), Rows(pa.schema(FIELDS))
-        for doc_id, text in documents_of(batches):
-            ids = np.append(encode(text), np.array([end_id], "<u4"))
-            # all pieces are full but the first
-            starts = [0, *range(len(ids) % size or size, len(ids), size)]
-            for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                raw = ids[a:b].tobytes()
-                kept = raw if with_ids else None
-                out.add(doc_id, piece, a, b - a, zlib.crc32(raw), kept, task, numbers[b - a], size=len(raw) if with_ids else 0)
-                numbers[b - a] += 1
-            if out.full():
-                yield out.batch()
+        for docs in blocks_of(documents_of(batches), BLOCK_CHARS):
+            all_ids, counts = encode([text for _, text in docs])
+            for (doc_id, _), end, n in zip(docs, np.cumsum(counts).tolist(), counts.tolist()):
+                ids = np.append(all_ids[end - n : end], np.array([end_id], "<u4"))
+                # all pieces are full but the first
+                starts = [0, *range(len(ids) % size or size, len(ids), size)]
+                for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+                    raw = ids[a:b].astype("<u4").tobytes()
+                    kept = raw if with_ids else None
+                    out.add(doc_id, piece, a, b - a, zlib.crc32(raw), kept, task, numbers[b - a], size=len(raw) if with_ids else 0)
+                    numbers[b - a] += 1
+                if out.full():
+                    yield out.batch()
         yield from out.drain()
 
     return run
@@ -256,7 +278,7 @@ def pack(
     )
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     numbered = pieces.join(
-        first, (F.col("task") == F.col("of")) & (F.col("length") == F.col("long"))
+        first.hint("merge"), (F.col("task") == F.col("of")) & (F.col("length") == F.col("long"))
     ).select(*columns, (F.col("number") + F.col("first")).alias("number"))
     kinds = {"doc_id": "bigint", "piece": "int", "ids": "binary"}
     out = ", ".join(f"{c} {kinds.get(c, 'bigint')}" for c in [*columns, "sequence_id", "offset"])

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidemark.llm.chunks import Numbered
 from tidemark.llm.common import Rows, documents_of, id_and_text
 
 Run = tuple[int, int, int]  # start, length, period
@@ -36,14 +37,6 @@ DIRECT = 4  # periods below are compared directly
 BATCH_WORDS = 200_000  # words appended together; a longer text is a sequence of its own
 
 
-class Numbers(dict):
-    """Words to numbers, in order of appearance."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 def words_of(text: str) -> list[bytes]:
     """Words of the contract; bytes are split at exactly its six blanks."""
     return text.encode("utf-8").split()
@@ -240,7 +233,7 @@ def _judged(least: int, shortest: int, digests: bool, alter: Callable | None):
         ("runs", pa.list_(RUN)), ("collapsed", pa.string())]
 
     def rows(out: Rows, waiting: list) -> None:
-        numbers = Numbers()
+        numbers = Numbered()
         sequences = [np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)) for _, words in waiting]
         for (doc_id, words), runs in zip(waiting, runs_of(sequences, least, shortest)):
             stay = collapsed(len(words), runs)

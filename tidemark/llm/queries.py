@@ -128,11 +128,14 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
             least(1000.0, greatest(2.0, mean * (1 - mean) / (spread - mean * (1 - mean) * share) - 1)) END AS strength
         FROM moments
     ), rates AS (
-        SELECT host, (failed + mean * strength) / (docs + strength) AS rate FROM hosts, prior
+        SELECT host, (failed + mean * strength) / (docs + strength) AS rate, mean / (1 - mean) AS general FROM hosts, prior
+    ), excess AS (
+        SELECT *, greatest(10.0 * n_symbols / greatest(n_words, 1), 10.0 * n_dup_lines / greatest(n_words, 1),
+            2.0 * n_words / greatest(word_chars, 1), word_chars / (15.0 * greatest(n_words, 1))) AS over FROM judged
     )
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-        NOT base_failed AND NOT (rate >= 0.5 AND strict_failed) AS kept
-    FROM judged JOIN rates USING (host)
+        NOT base_failed AND NOT (strict_failed AND over * (rate / (1 - rate) / general) >= 1) AS kept
+    FROM excess JOIN rates USING (host)
     """,
 )
 def op6_host_rules(spark: SparkSession, folder: str) -> DataFrame:
