@@ -109,10 +109,12 @@ def site_quality(
 ) -> DataFrame:
     """Per document: ``doc_id, evidence, host_rate, path_rate, posterior, kept``.
 
-    ``evidence`` is the classifier's probability.  Null texts count as
-    empty, null hosts and paths as the empty name.  Repeated rows are judged
+    ``evidence`` is the classifier's probability, ``path_rate`` the shrunk rate
+    of the path's other documents.  Null texts count as empty, null hosts and
+    paths as the empty name.  Repeated rows, also with the same id, are judged
     each by itself; without labels the evidence is one half for all; an empty
-    table gives no rows.
+    table gives no rows; other columns are dropped, whatever their names.  A
+    text is one value of an expression, of the size that Spark allows.
     """
     weights, rate = fit(docs, labels, id_col, text_col, label_col, sample)
     rows = picked(
@@ -145,13 +147,12 @@ def site_quality(
     )
     k = _strength(within, "host_rate")
     sites = written(
-        within.select(
-            F.col("host").alias("h"), F.col("path").alias("p"), "host_rate",
-            ((F.col("sum") + k * F.col("host_rate")) / (F.col("docs") + k)).alias("path_rate"),
-        ),
-        "sites",
+        within.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_rate", "docs", "sum"), "sites"
     )
     joined = judged.join(sites, equal_keys(judged, sites, {"host": "h", "path": "p"}))
+    # the rate of the other documents there: a document's own evidence counts once
+    others = (F.col("sum") - F.col("evidence") + k * F.col("host_rate")) / (F.col("docs") - 1 + k)
+    joined = joined.withColumn("path_rate", others)
     shift = _logit(F.col("path_rate")) - F.lit(float(np.log(general / (1 - general))))
     posterior = 1 / (1 + F.exp(-(_logit(F.col("evidence")) + shift)))
     return joined.select("doc_id", "evidence", "host_rate", "path_rate", posterior.alias("posterior")).withColumn(

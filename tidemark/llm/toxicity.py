@@ -70,6 +70,39 @@ class Ordinal:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score, -60, 60)))
 
 
+def thresholds_of(params: np.ndarray, n: int) -> np.ndarray:
+    """The first threshold, and the others at distances that are exponentials."""
+    return params[n] + np.concatenate(([0.0], np.cumsum(np.exp(params[n + 1 :]))))
+
+
+def objective(
+    params: np.ndarray, owner: np.ndarray, place: np.ndarray, x: np.ndarray, grades: np.ndarray, n: int, penalty: float
+) -> tuple[float, np.ndarray]:
+    """Mean log-likelihood of the grades less the penalty on the weights, and its gradient.
+
+    The first ``n`` parameters are weights, the others make the thresholds;
+    row ``owner[i]`` has the value ``x[i]`` of the feature ``place[i]``.
+    """
+    rows, levels = len(grades), len(params) - n
+    everyone = np.arange(rows)
+    score = np.bincount(owner, params[place] * x, rows)
+    above = 1 / (1 + np.exp(np.clip(thresholds_of(params, n)[None, :] - score[:, None], -60, 60)))
+    edges = np.hstack([np.ones((rows, 1)), above, np.zeros((rows, 1))])
+    slopes = edges * (1 - edges)
+    own = np.maximum(edges[everyone, grades] - edges[everyone, grades + 1], 1e-9)
+    by_score = (slopes[everyone, grades] - slopes[everyone, grades + 1]) / own
+    by_cut = np.zeros(levels + 2)
+    np.add.at(by_cut, grades, -slopes[everyone, grades] / own)
+    np.add.at(by_cut, grades + 1, slopes[everyone, grades + 1] / own)
+    by_cut = by_cut[1:-1]
+    tails = np.cumsum(by_cut[::-1])[::-1]
+    gradient = np.concatenate([
+        np.bincount(place, x * by_score[owner], n) / rows - penalty * params[:n],
+        tails[:1] / rows, tails[1:] * np.exp(params[n + 1 :]) / rows,
+    ])
+    return float(np.log(own).mean() - penalty / 2 * (params[:n] ** 2).sum()), gradient
+
+
 def fit_ordinal(
     rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, bits: int = BITS, rounds: int = ROUNDS,
     penalty: float = 1e-6,
@@ -94,33 +127,13 @@ def fit_ordinal(
     gaps = np.log(np.maximum(np.diff(start), 0.05))
     params = np.concatenate([np.zeros(len(used)), start[:1], gaps])
     first, second, n = np.zeros_like(params), np.zeros_like(params), len(used)
-    everyone = np.arange(len(rows))
-
-    def thresholds() -> np.ndarray:
-        return params[n] + np.concatenate(([0.0], np.cumsum(np.exp(params[n + 1 :]))))
-
     for step in range(1, rounds + 1):
-        cuts = thresholds()
-        score = np.bincount(owner, params[place] * x, len(rows))
-        above = 1 / (1 + np.exp(np.clip(cuts[None, :] - score[:, None], -60, 60)))
-        edges = np.hstack([np.ones((len(rows), 1)), above, np.zeros((len(rows), 1))])
-        slopes = edges * (1 - edges)
-        own = np.maximum(edges[everyone, grades] - edges[everyone, grades + 1], 1e-9)
-        by_score = (slopes[everyone, grades] - slopes[everyone, grades + 1]) / own
-        by_cut = np.zeros(levels + 2)
-        np.add.at(by_cut, grades, -slopes[everyone, grades] / own)
-        np.add.at(by_cut, grades + 1, slopes[everyone, grades + 1] / own)
-        by_cut = by_cut[1:-1]
-        tails = np.cumsum(by_cut[::-1])[::-1]
-        up = np.concatenate([
-            np.bincount(place, x * by_score[owner], n) / len(rows) - penalty * params[:n],
-            tails[:1] / len(rows), tails[1:] * np.exp(params[n + 1 :]) / len(rows),
-        ])
+        _, up = objective(params, owner, place, x, grades, n, penalty)
         first, second = 0.9 * first + 0.1 * up, 0.999 * second + 0.001 * up * up
         params = params + 0.3 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(1 << bits, np.float32)
     weights[used] = params[:n]
-    return Ordinal(weights, thresholds())
+    return Ordinal(weights, thresholds_of(params, n))
 
 
 def severity_grades(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, bits: int = BITS) -> np.ndarray:
