@@ -4,6 +4,7 @@ import glob
 import gzip
 import hashlib
 import os
+import re
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -652,3 +653,83 @@ def test_scratch_goes_with_the_upsert(spark, tmp_path):
     for n in range(3):
         table.upsert(spark.createDataFrame([("a1", n, "x")], SCHEMA))
     assert set(glob.glob(f"{place}/*")) == before
+
+
+# logs, exports, row ids, the delta job's reads --------------------------------------------------
+
+def test_logs_stay_few_files(spark, tmp_path):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    entries = spark.range(0, 500, 1, 500).selectExpr("id", "concat('key', id % 7) AS primarykey", "cast(id AS string) AS bookmark")
+    entries.write.parquet(str(tmp_path / "c" / "bookmarks"))
+    assert len(store.read("bookmarks").inputFiles()) == 500
+    store.save_bookmark("key3", "newest")
+    assert len(store.read("bookmarks").inputFiles()) == 1
+    assert store.bookmark("key3") == "newest" and store.bookmark("key4") == "494"
+    assert store.read("bookmarks").count() == 501
+    store.save_bookmark("key4", "later")
+    assert len(store.read("bookmarks").inputFiles()) == 2 and store.bookmark("key4") == "later"
+
+
+def test_logs_survive_a_stop_while_they_are_joined(spark, tmp_path, monkeypatch):
+    store = ctl.ControlStore(spark, str(tmp_path / "c"))
+    for note in (ctl.STARTED, ctl.PASSED, ctl.STARTED, ctl.FAILED):
+        store.log(SPEC, "r", note)
+    before = rows_of(store.read("run_log"))
+
+    def stopped(*_):
+        raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(ctl, "delete_path", stopped)
+    with pytest.raises(RuntimeError):
+        store.compact("run_log")
+    assert len(store.read("run_log").inputFiles()) == 5 and rows_of(store.read("run_log")) == before
+    monkeypatch.undo()
+    store.compact("run_log")
+    assert len(store.read("run_log").inputFiles()) == 1 and rows_of(store.read("run_log")) == before
+
+
+def test_exported_text_stays_one_line(spark, tmp_path):
+    texts = ["a\tb", "c\nd", "e\r\nf", "g\\tb", None, "", "plain"]
+    rows = spark.createDataFrame([(n + 1, t) for n, t in enumerate(texts)], "RowID bigint, t string")
+    export = Export(str(tmp_path / "out"), size=4, prefix="p")
+    files, count = export.write_counted(rows, "f", "t")
+    lines = [r["value"] for r in spark.read.text(export.path).orderBy("value").collect()]
+    assert count == len(lines) == len(texts) and files.count() == 2
+
+    def read(text):
+        back = {"t": "\t", "n": "\n", "r": "\r", "\\": "\\"}
+        return re.sub(r"\\(.)", lambda m: back[m[1]], text)
+
+    assert [read(line.split("\t")[1]) for line in lines] == [t or "" for t in texts]
+    # another range is added, the same one is replaced
+    export.write_counted(rows, "t", "u")
+    files, count = export.write_counted(rows.limit(2), "f", "t")
+    assert (count, files.count()) == (2, 1) and spark.read.text(export.path).count() == len(texts) + 2
+
+
+def test_row_ids_sort_once(spark, plan_of, monkeypatch):
+    from tidemark.operators import rowid
+
+    plans, write = [], rowid.written
+    monkeypatch.setattr(rowid, "written", lambda df, label: plans.append(plan_of(df)) or write(df, label))
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.col("id").alias("v"))
+    got = rowid.row_ids(rows, ["k"]).orderBy("RowID").collect()
+    assert [(r["RowID"], r["k"]) for r in got] == [(n + 1, n) for n in range(1000)]
+    assert "Sort" not in plans[0] and plans[1].count("Sort [") == 1 and plans[1].count("Exchange rangepartitioning") == 1
+    assert "FileScan" in plans[1] and "Range (" not in plans[1]  # the sample reads the staged files
+
+
+def test_delta_job_reads_the_merged_buckets_only(spark, tmp_path, plan_of, monkeypatch):
+    rows, tables = sample_rows(spark), dimension_tables(spark)
+    plan = job.DeltaPlan(lookups=job.document_lookups(tables), columns=job.document_columns())
+    static, store = job.static_table(str(tmp_path / "static"), plan, 16), ctl.ControlStore(spark, str(tmp_path / "c"))
+    assert job.delta_job(rows, static, store, plan, Export(str(tmp_path / "e1")))["rows"] == 4
+    newer = flat_rows(spark, [(1, 5, 1, 2, 1, "Pune", day(9), "changed id", 77)])
+    seen, keys, wide = [], job.delta_keys, job.denormalise
+    monkeypatch.setattr(job, "delta_keys", lambda df, *a: seen.append(df) or keys(df, *a))
+    monkeypatch.setattr(job, "denormalise", lambda df, *a: seen.append(df) or wide(df, *a))
+    assert job.delta_job(rows.unionByName(newer), static, store, plan, Export(str(tmp_path / "e2")))["rows"] == 3
+    assert len(seen) == 2
+    for frame in seen:
+        filters = plan_of(frame).split("PartitionFilters: [")[1].split("]")[0]
+        assert "partition" in filters and frame.select("partition").distinct().count() < static.read(spark).select("partition").distinct().count()

@@ -37,6 +37,51 @@ def test_jdbc_options(driver, url):
     assert (found["partitionColumn"], found["numPartitions"]) == ("id", "16")
 
 
+def test_jdbc_bounds_and_parts():
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    assert jdbc.bounds_query(SPEC, None, "9") == (
+        "(select min(id) as low, max(id) as high, count(*) as n from "
+        "(select id,updated from orders where updated <= '9') range_a_shop_orders) bounds_a_shop_orders"
+    )
+    parts = jdbc.split_predicates("id", -5, 95, 35, per_read=10)
+    assert parts == ["id < 20", "id >= 20 and id < 45", "id >= 45 and id < 70", "id >= 70", "id is null"]
+    assert len(jdbc.split_predicates("id", 0, 10**9, 10**9)) == jdbc.MOST_READS + 1
+    assert jdbc.split_predicates("id", 1, 2, 30, per_read=10) == ["id < 1", "id >= 1", "id is null"]
+    assert jdbc.split_predicates("t", datetime(2024, 1, 1), datetime(2024, 1, 3), 2, per_read=1) == [
+        "t < '2024-01-02 00:00:00'", "t >= '2024-01-02 00:00:00'", "t is null"
+    ]
+    assert jdbc.split_predicates("t", date(2024, 1, 1), date(2024, 1, 3), 2, per_read=1)[0] == "t < '2024-01-02'"
+    assert jdbc.split_predicates("x", Decimal("1.0"), Decimal("2.0"), 2, per_read=1)[0] == "x < 1.5"
+    for low, high, rows in ((None, None, 0), (1, 9, 5), (7, 7, 100), ("a", "z", 100), (True, False, 100)):
+        assert jdbc.split_predicates("id", low, high, rows, per_read=10) == []
+
+
+def test_parts_hold_every_row_once(spark):
+    rows = spark.createDataFrame([(n,) for n in [*range(-20, 130), None, None]], "id int")
+    for low, high in ((0, 100), (5, 6), (-20, 129)):
+        parts = jdbc.split_predicates("id", low, high, 95, per_read=10)
+        assert sum(rows.filter(part).count() for part in parts) == rows.count()
+
+
+def test_large_ranges_are_read_in_parts(monkeypatch):
+    asked = {}
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            asked.update(url=url, table=table, predicates=predicates, properties=properties)
+
+    class Session:
+        read = Reader()
+
+    parts = ["id < 5", "id >= 5", "id is null"]
+    monkeypatch.setattr(jdbc, "planned_split", lambda *_: parts)
+    jdbc.read_range(Session(), SPEC, "1", "2")
+    assert asked["table"] == jdbc.range_query(SPEC, "1", "2") and asked["predicates"] == parts
+    assert asked["url"].startswith("jdbc:mysql") and set(asked["properties"]) == {"driver", "user", "password", "fetchsize"}
+
+
 def test_unsupported_database(spark):
     spec = TableSpec(**{**SPEC.__dict__, "conntype": "oracle"})
     assert jdbc.read_range(spark, spec, "0", "1").columns == []

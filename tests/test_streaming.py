@@ -54,6 +54,32 @@ def test_rollup_table_equals_batch(spark, tmp_path, folder):
     assert rows_of(target.read(spark).drop("partition")) == want
 
 
+def test_closed_hours_are_not_written_again(spark, tmp_path, folder):
+    target = rollup.rollup_table(str(tmp_path / "t"), ["kind"])
+
+    def files():
+        return {r[0]: r[1] for r in target.read(spark).select("partition", F.col("_metadata.file_path")).distinct().collect()}
+
+    for rows in ([(1, at(5), "a", 1), (2, at(70), "a", 2)], [(3, at(75), "a", 4), (4, at(130), "a", 1)], [(5, at(128), "b", 8)]):
+        before = files() if target.exists(spark) else {}
+        add_file(spark, folder, rows)
+        run(rollup.update_table(rolled(stream_of(spark, folder)), target, str(tmp_path / "c"), once=True))
+        changed = {hour for hour, name in files().items() if before.get(hour, name) != name}
+        assert changed <= {r["partition"] for r in target.read(spark).filter(F.col("window_start") >= at(60)).collect()}
+    assert files().keys() == {"2024_01_01_00", "2024_01_01_01", "2024_01_01_02"}
+    assert rows_of(target.read(spark).drop("partition")) == rows_of(rolled(spark.read.parquet(str(folder))))
+
+
+def test_reset_begins_anew(spark, tmp_path, folder):
+    spec = StreamSpec(topic="t", alias="a", bookmark="ts", primaryKey="id", reset_offset_on_start="true")
+    table = upsert.stream_table(spec, str(tmp_path / "t"))
+    add_records(spark, folder, [("1", "2024-01-01 10:00", "a")])
+    for _ in range(2):
+        run(start(spark, folder, table, str(tmp_path / "c"), spec))
+    assert len([p for p in tmp_path.glob("c-*") if p.name != "c-rejects"]) == 2
+    assert table.read(spark).count() == 1
+
+
 def test_late_events_are_dropped_and_open_hours_kept_back(spark, tmp_path, folder):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "c")
     for rows in (

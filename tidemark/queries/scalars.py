@@ -278,12 +278,23 @@ def frequency():
     return F.element_at(F.array(*[F.lit(f) for f in FREQUENCIES]), (F.col("o_orderkey") % 8 + 1).cast("int"))
 
 
+UNITS = ["min", "Minutes", "hour", "HOURS", "day", "weeks", "month", "fortnight"]
+
+
 @query(
     "freq_minutes",
-    f"SELECT o_orderkey, {FREQUENCY_MINUTES}[o_orderkey % 8 + 1]::BIGINT AS minutes FROM orders",
+    f"""WITH f AS (SELECT o_orderkey, o_orderkey % 61 AS n, lower({UNITS}[o_orderkey % 8 + 1]) AS unit FROM orders)
+        SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 1440 WHEN unit LIKE '%min%' THEN n
+          WHEN unit LIKE '%hour%' THEN n * 60 WHEN unit LIKE '%day%' THEN n * 24 * 60
+          WHEN unit LIKE '%week%' THEN n * 7 * 24 * 60 ELSE n * 30 * 24 * 60 END::BIGINT AS minutes FROM f""",
 )
 def freq_minutes(spark, folder):
-    return table(spark, folder, "orders").select("o_orderkey", times.freq_minutes(frequency()).alias("minutes"))
+    """Every order with a frequency of its own: a number, in one of 13 rows unreadable, and a unit."""
+    key = F.col("o_orderkey")
+    unit = F.element_at(F.array(*[F.lit(u) for u in UNITS]), (key % 8 + 1).cast("int"))
+    number = F.when(key % 13 == 0, F.lit("some")).otherwise((key % 61).cast("string"))
+    text = F.concat(F.lit(" "), number, F.lit(" "), unit)
+    return table(spark, folder, "orders").select("o_orderkey", times.freq_minutes(text).alias("minutes"))
 
 
 ROW_JSON_SQL = """'{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '","segment":'

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -60,6 +62,52 @@ class ParallelRead:
     partitions: int
 
 
+#: Rows that one connection reads, and connections at most; a source is not to be flooded.
+ROWS_PER_READ = 250_000
+MOST_READS = 64
+
+
+def bounds_query(spec: TableSpec, previous: str | None, current: str) -> str:
+    """The lowest and the highest key of a range of bookmarks and its rows, computed by the source in one pass."""
+    key = spec.primaryKey
+    return (
+        f"(select min({key}) as low, max({key}) as high, count(*) as n"
+        f" from {range_query(spec, previous, current)}) bounds_{alias_of(spec)}"
+    )
+
+
+def split_predicates(column: str, low, high, rows: int, per_read: int = ROWS_PER_READ, most: int = MOST_READS) -> list[str]:
+    """Conditions that cut the rows into parts of about equal width, each row in exactly one.
+
+    The outer parts are open, so rows beyond the bounds, added meanwhile, are
+    read too, and rows without a key have a part of their own.  Nothing to
+    split gives no condition: few rows, one key, or keys that are no numbers,
+    dates or times.
+    """
+    parts = min(most, -(-rows // per_read))
+    if parts < 2 or isinstance(low, bool) or not isinstance(low, (int, float, Decimal, date)) or not low < high:
+        return []
+
+    def cut(n: int) -> str:
+        if isinstance(low, int):
+            return str(low + (high - low) * n // parts)
+        if isinstance(low, datetime):
+            return quote((low + (high - low) * n / parts).isoformat(" "))
+        if isinstance(low, date):
+            return quote((low + timedelta(days=(high - low).days * n // parts)).isoformat())
+        return str(low + (high - low) * n / parts)
+
+    cuts = list(dict.fromkeys(cut(n) for n in range(1, parts)))
+    inner = [f"{column} >= {a} and {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]}", *inner, f"{column} >= {cuts[-1]}", f"{column} is null"]
+
+
+def planned_split(spark: SparkSession, spec: TableSpec, previous: str | None, current: str) -> list[str]:
+    """Ask the source for the bounds of a range and split it by the primary key."""
+    row = spark.read.format("jdbc").options(**options(spec, bounds_query(spec, previous, current))).load().first()
+    return split_predicates(spec.primaryKey, row["low"], row["high"], int(row["n"]))
+
+
 def options(spec: TableSpec, dbtable: str, split: ParallelRead | None = None, fetch: int = 10000) -> dict[str, str]:
     kind = database_kind(spec.conntype)
     if kind is None:
@@ -85,11 +133,21 @@ def options(spec: TableSpec, dbtable: str, split: ParallelRead | None = None, fe
 def read_range(
     spark: SparkSession, spec: TableSpec, previous: str | None, current: str, split: ParallelRead | None = None
 ) -> DataFrame:
-    """Changed rows of a table; an unsupported database gives an empty frame."""
+    """Changed rows of a table; an unsupported database gives an empty frame.
+
+    Without a given split the source's own bounds decide: a large range is
+    read over several connections, by the primary key.
+    """
     if database_kind(spec.conntype) is None:
         return spark.createDataFrame([], StructType())
-    found = options(spec, range_query(spec, previous, current), split)
-    return spark.read.format("jdbc").options(**found).load()
+    query = range_query(spec, previous, current)
+    if split is None:
+        parts = planned_split(spark, spec, previous, current)
+        if parts:
+            found = options(spec, query)
+            url, dbtable = found.pop("url"), found.pop("dbtable")
+            return spark.read.jdbc(url, dbtable, predicates=parts, properties=found)
+    return spark.read.format("jdbc").options(**options(spec, query, split)).load()
 
 
 def current_bookmark(

@@ -8,7 +8,6 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.aggregates import rollup_counts
 from tidemark.plans.lake import LakeTable
-from tidemark.functions.buckets import prefix_value
 from tidemark.streaming.upsert import trigger
 
 # Segment length and how late an event may come.
@@ -53,10 +52,13 @@ def append_closed(rolled: DataFrame, path: str, checkpoint: str, once: bool = Fa
 
 
 def rollup_table(path: str, dims: list[str]) -> LakeTable:
-    """Rollup target, one bucket per day; a later count of an hour replaces the earlier."""
-    return LakeTable(
-        path=path, keys=("window_start", *dims), bucket=prefix_value("window_start"), order_by="cnt"
-    )
+    """Rollup target, one bucket per hour; a later count of an hour replaces the earlier.
+
+    A batch holds the hours it changed and no others, and none behind the
+    watermark, so the files of a closed hour are never written again.
+    """
+    hour = F.date_format("window_start", "yyyy_MM_dd_HH")
+    return LakeTable(path=path, keys=("window_start", *dims), bucket=hour, order_by="cnt")
 
 
 def update_table(rolled: DataFrame, table: LakeTable, checkpoint: str, once: bool = False) -> StreamingQuery:

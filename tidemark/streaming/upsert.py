@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -125,6 +126,8 @@ def upsert_stream(
     Malformed records, and with the ``report`` treatment values that cannot
     be converted, go to ``reject_path`` (``<checkpoint>-rejects`` if none is
     given) as ``primarykey, colname, target, value``, one folder per batch.
+    A spec with ``reset_offset_on_start`` begins anew, at its
+    ``auto_offset_reset``, with a checkpoint of its own beside the given path.
     With ``control``, every batch is logged under its number as started, passed
     or failed.
 
@@ -132,6 +135,8 @@ def upsert_stream(
     put an older row back.
     """
     reject_path = reject_path or checkpoint.rstrip("/") + "-rejects"
+    if spec.reset_offset_on_start.strip().lower() == "true":
+        checkpoint = f"{checkpoint.rstrip('/')}-{time.time_ns()}"
     writer = batch_writer(spec, schema, table, overrides or {}, newer_wins, reject_path, checkpoint, control)
     return (
         values.writeStream.foreachBatch(writer)
