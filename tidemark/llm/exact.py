@@ -246,7 +246,10 @@ def exact_groups(
 ) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
-    Empty and null texts form one group.  An empty table gives no rows.
+    Empty and null texts form one group.  A null id comes last; of rows with
+    the same id and text one is kept, and each has a row.  An empty table gives
+    no rows; other columns are dropped, whatever their names.  Texts are
+    compared whole, one at a time.
     """
     narrow = numbered(docs).select(
         *[F.col(f"c{docs.columns.index(c)}").alias(n) for c, n in ((id_col, "doc_id"), (text_col, "text"))]
@@ -266,7 +269,10 @@ def exact_groups(
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever the names; as in ``exact_groups``.
+
+    A text stays as it was, null included.  An empty table gives an empty one.
+    """
     groups, text_at = _groups(docs, id_col, text_col, limit)
     row = groups.schema["row"].dataType.simpleString()
     kept = _by_content(groups).mapInArrow(_global(limit, text_at, _arrow_type(groups, "row"), True), f"row {row}")

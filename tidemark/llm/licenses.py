@@ -209,7 +209,10 @@ def license_scan(
     ``labels`` adds those of the detections that are not suppressed to the
     base labels.  ``score`` is n / (n + 1) for n such detections and base
     places.  Null and empty texts have no words, empty labels and score 0;
-    repeated rows are scanned each by itself; an empty table gives no rows.
+    repeated rows, also with the same id, are scanned each by itself; an empty
+    table gives no rows; other columns are dropped, whatever their names.  A
+    text and its words are values of expressions, of the size that Spark allows
+    for one, 2 GB.
     """
     scanned = id_and_text(docs, id_col, text_col).select(
         F.monotonically_increasing_id().alias("uid"), "doc_id", word_text(F.col("text")).alias("words")

@@ -262,7 +262,9 @@ def pack(
     (little-endian unsigned 32-bit) if asked for.
 
     Null and empty texts are one piece that holds the closing id only;
-    repeated rows are packed each by itself; an empty table gives no rows.
+    repeated rows, also with the same id, are packed each by itself; an empty
+    table gives no rows; other columns are dropped, whatever their names.  A
+    text is encoded whole in one task, with some 60 bytes a token.
     """
     schema = (
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary, task int, number bigint"

@@ -322,7 +322,10 @@ def simhash_components(
 
     The component id is the smallest id that links lead to, null only if all
     ids of the component are.  Null and empty texts have fingerprint zero and
-    are linked like any other; repeated rows are in one component.
+    are linked like any other; repeated rows, also with the same id, are in one
+    component and have a row each.  An empty table gives no rows; other columns
+    are dropped, whatever their names.  A text is hashed whole in one task,
+    with some 100 bytes a word.
     """
     rows = fingerprints(docs, id_col, text_col, shingle)
     prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
@@ -342,7 +345,11 @@ def simhash_components(
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each component: that with the smallest id, of equal ids one."""
+    """The rows of ``docs`` that stay, with all their columns, whatever the names: one of each component.
+
+    It is that with the smallest id, of equal ids one; a null id comes last.  Null texts count as empty, and texts without
+    words are one component.  An empty table gives an empty one.
+    """
     flat, place = numbered(docs), {c: f"c{i}" for i, c in enumerate(docs.columns)}
     source = written(flat.withColumn("uid", F.monotonically_increasing_id()), "rows")
     marked = simhash_components(source, "uid", place[text_col], shingle, distance)

@@ -350,7 +350,9 @@ def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and empty texts have no bytes; texts below ``SPAN`` bytes lose none.
     Repeated rows, also with the same id, are judged each by itself, so copies
-    of a long text lose all of it.  An empty table gives no rows.
+    of a long text lose all of it.  An empty table gives no rows; other columns
+    are dropped, whatever their names.  A text is cut whole in one task, with
+    some 20 bytes a byte.
     """
     rows = id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
     packed = _store(rows)
@@ -364,7 +366,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", block: int = BLOCK)
     """``docs`` without its repeated passages: every row stays, with all columns, and loses the marked bytes.
 
     A character that is only partly under a mark stays whole.  Rows without a
-    mark keep their text as it was, null included.
+    mark keep their text as it was, null included.  Columns may have any name;
+    an empty table gives an empty one.
     """
     flat, text_at = numbered(docs), f"c{docs.columns.index(text_col)}"
     source = written(flat.withColumn("uid", F.monotonically_increasing_id()), "rows")

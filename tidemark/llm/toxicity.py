@@ -191,8 +191,8 @@ def _scores(model: Ordinal, bits: int, limit: float):
         ]))
         for doc_id, text in documents_of(batches):
             above = model.above(*hasher(text))
-            edges = np.concatenate(([1.0], above, [0.0]))
-            out.add(doc_id, float(above.sum()), int((edges[:-1] - edges[1:]).argmax()), float(above[0]), bool(above[0] >= limit))
+            grade = int((above >= limit).sum())
+            out.add(doc_id, float(above.sum()), grade, float(above[0]), grade > 0)
             if out.full():
                 yield out.batch()
         yield from out.drain()
@@ -205,8 +205,12 @@ def score(
 ) -> DataFrame:
     """Per document: ``doc_id, expected_severity, grade, p_toxic, toxic``.
 
-    A null or empty text has no features and gets the base rate.  Repeated
-    rows are scored each by itself; an empty table gives no rows.
+    ``grade`` counts the thresholds that are passed with a probability of
+    ``limit`` or more, so a document has one above 0 if and only if it is
+    ``toxic``.  A null or empty text has no features and gets the base rate.
+    Repeated rows, also with the same id, are scored each by itself; an empty
+    table gives no rows; other columns are dropped, whatever their names.  A
+    text is scored whole in one task, with some 100 bytes a word.
     """
     bits = len(model.weights).bit_length() - 1
     return id_and_text(docs, id_col, text_col).mapInArrow(
