@@ -9,7 +9,7 @@ from tidemark.llm import alignment, bpe, exact, hosts, katz, licenses, packing,
 #: Names that the operators use for columns of their own.
 CLASHING = "uid of row key c0 c1 fp least gid kind sha z spans block part word n number length task common a.b host path"
 
-LONG = " ".join(f"w{i % 5000}" for i in range(60_000))
+LONG = " ".join(f"w{i % 5000}" for i in range(20_000))
 TEXTS = [None, "", " \t", "one word", "one word", "a b c d e f g h", "a b c d e f g h", "été 漢字 x " * 30, LONG, LONG + " end",
          "all rights reserved cc by", "### !!! $$$ " * 20, "word\nword\nword\n", " ".join(f"word{i}" for i in range(40))]
 
