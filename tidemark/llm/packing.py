@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.chunks import Memo, led, line_parts
+from tidemark.llm.chunks import Generations, led, line_parts
 from tidemark.llm.common import Rows, documents_of, id_and_text
 from tidemark.session import written
 
@@ -158,7 +158,7 @@ class TokenizerIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side; no threads within one
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Memo(750_000)  # some 150 MB
+        self.parts = Generations(375_000)  # two of them, some 150 MB
         # a byte-level vocabulary writes every byte as one character
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -169,24 +169,37 @@ class TokenizerIds:
         if not text:
             return np.empty(0, "<u4")
         first, *rest = line_parts(text)
-        known = self.parts.get
-        ids = [known(p) for p in rest]
+        ids, fresh = list(map(self.parts.young.get, rest)), {}
         new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None)) if None in ids else []
+        if new:
+            fresh = {part: some for part in new if (some := self.parts.get(part)) is not None}
+            new = [part for part in new if part not in fresh]
         stood = [first, *map(led, new)]
         found = self.tokenizer.encode_batch_fast(["".join(stood)], add_special_tokens=False)[0].ids
         own = np.array(found, "<u4")
-        if not new:
+        if not new and not fresh:
             return np.frombuffer(own.tobytes() + b"".join(ids), "<u4")
         ends = np.cumsum([len(p.encode()) for p in stood])
         stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends, side="right")).tolist()
         raw = own.tobytes()
-        fresh = {part: raw[a:b] for part, a, b in zip(new, stops, stops[1:])}
-        for part, some in fresh.items():
+        for part, a, b in zip(new, stops, stops[1:]):
+            fresh[part] = raw[a:b]
             if len(part) < 64:
-                self.parts.put(part, some)
+                self.parts.put(part, raw[a:b])
         return np.frombuffer(raw[: stops[0]] + b"".join([i if i is not None else fresh[p] for p, i in zip(rest, ids)]), "<u4")
 
 
+#: Per tokenizer file, what a worker process remembers from task to task; of one file at a time.
+REMEMBERED: dict[str, TokenizerIds] = {}
+
+
+def tokenizer_ids(path: str) -> TokenizerIds:
+    if path not in REMEMBERED:
+        REMEMBERED.clear()
+        REMEMBERED[path] = TokenizerIds(path)
+    return REMEMBERED[path]
+
+
 FIELDS = [
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
     ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("task", pa.int32()), ("number", pa.int64()),
@@ -195,7 +208,7 @@ FIELDS = [
 
 def _pieces(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = TokenizerIds(path), TaskContext.get().partitionId()
+        encode, task = tokenizer_ids(path), TaskContext.get().partitionId()
         numbers, out = [0] * (size + 1), Rows(pa.schema(FIELDS))
         for doc_id, text in documents_of(batches):
             ids = np.append(encode(text), np.array([end_id], "<u4"))
