@@ -212,3 +212,14 @@ def test_graceful_stop(spark, tmp_path, folder):
 def test_trigger():
     assert upsert.trigger(False) == {"processingTime": "120 seconds"}
     assert upsert.trigger(True) == {"availableNow": True}
+
+
+def test_rollup_writes_an_hour_by_one_task(spark, tmp_path, folder):
+    """A stream with state plans without AQE, where every task wrote a file of every hour."""
+    target = rollup.rollup_table(str(tmp_path / "t"), ["kind"])
+    for part in range(2):
+        add_file(spark, folder, [(i, at(i * 7 + part), f"k{i}", i) for i in range(60)])
+    run(rollup.update_table(rolled(stream_of(spark, folder)), target, str(tmp_path / "c"), once=True))
+    files = target.read(spark).select("partition", F.col("_metadata.file_path")).distinct().groupBy("partition").count()
+    assert {r["count"] for r in files.collect()} == {1}
+    assert rows_of(target.read(spark).drop("partition")) == rows_of(rolled(spark.read.parquet(str(folder))))

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.operators.aggregates import rollup_counts
 from tidemark.plans.lake import LakeTable
+from tidemark.session import scratch
 from tidemark.streaming.upsert import trigger
 
 # Segment length and how late an event may come.
@@ -65,10 +66,16 @@ def update_table(rolled: DataFrame, table: LakeTable, checkpoint: str, once: boo
     """Keep a table of all hours up to date, open ones included.
 
     Each batch sends only the groups it changed, so neither the sink nor the
-    state holds the whole history.
+    state holds the whole history.  A stream with state plans without AQE,
+    and without it ``rebalance`` does nothing: every task would write a file
+    of every hour.  So the batch is staged and the table changed by the
+    session that the stream came from.
     """
+    spark = rolled.sparkSession
+
     def write(batch: DataFrame, _: int) -> None:
-        table.upsert(batch)
+        with scratch(spark):
+            table.upsert(table.stage(batch, spark), staged=True)
 
     return (
         rolled.writeStream.outputMode("update")
