@@ -733,3 +733,21 @@ def test_delta_job_reads_the_merged_buckets_only(spark, tmp_path, plan_of, monke
     for frame in seen:
         filters = plan_of(frame).split("PartitionFilters: [")[1].split("]")[0]
         assert "partition" in filters and frame.select("partition").distinct().count() < static.read(spark).select("partition").distinct().count()
+
+
+def test_wide_documents_are_moved_once(spark, tmp_path, plan_of, monkeypatch):
+    """Documents are dealt by ranges of their id before the projection and exported from there."""
+    rows, tables = sample_rows(spark), dimension_tables(spark)
+    plan = job.DeltaPlan(lookups=job.document_lookups(tables), columns=job.document_columns())
+    static, store = job.static_table(str(tmp_path / "static"), plan, 4), ctl.ControlStore(spark, str(tmp_path / "c"))
+    plans, batches = [], Export.batches
+    monkeypatch.setattr(Export, "batches", lambda self, df, *a: plans.append(plan_of(df)) or batches(self, df, *a))
+    hints, hint = [], type(rows).hint
+    monkeypatch.setattr(type(rows), "hint", lambda df, name, *a: hints.append((name, *a)) or hint(df, name, *a))
+    export = Export(str(tmp_path / "e"), size=2, prefix="docs")
+    assert job.delta_job(rows, static, store, plan, export)["rows"] == 4
+    assert "rangepartitioning(RowID" in plans[0] and ("rebalance", "batch") not in hints
+    got = spark.read.text(export.path).collect()
+    assert sorted((int(r["value"].split("\t")[0]) - 1) // 2 * 2 + 1 for r in got) == sorted(
+        int(r["batch"].rsplit(".", 1)[1].split("-")[0]) for r in got
+    )
