@@ -296,3 +296,19 @@ def test_sparse_sites_are_shrunk_towards_their_host(spark):
     none = labels.limit(0)
     assert {r["evidence"] for r in sites.site_quality(docs, none).collect()} == {0.5}
     assert sites.site_quality(docs.limit(0), none).collect() == []
+
+
+def test_op4_reads_its_losses_from_expanded_examples(spark, tmp_path, plan_of, monkeypatch):
+    from tidemark.llm import queries
+
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b<|im_end|>"), (1, 2, "assistant", "\U0001f600"), (2, 0, "user", "c"), (None, 0, "assistant", "")]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    seen, examples = [], chat.examples
+    monkeypatch.setattr(chat, "examples", lambda *a, **k: seen.append(examples(*a, **k)) or seen[-1])
+    found = queries.op4_chat_format(spark, str(tmp_path))
+    got = {r["conv_id"]: r for r in found.collect()}
+    assert len(seen) == 1 and "posexplode" in plan_of(found)
+    parts = {(r["conv_id"], r["example"]): r for r in seen[0].collect()}
+    assert parts[1, 1]["context"].startswith("<|im_start|>user\na<|im_end|>\n<|im_start|>assistant\n") and parts[1, 1]["reply"] == "\U0001f600"
+    assert {k: (r["n_turns"], r["loss_chars"]) for k, r in got.items()} == {1: (3, 12), 2: (1, 0), None: (1, 0), -1: (2, 34)}
+    assert got[1]["loss_sha256"] == hashlib.sha256("b<|im_end|>\U0001f600".encode()).hexdigest()

@@ -114,20 +114,28 @@ def format_conversations(
     )
 
 
-def examples(conversations: DataFrame) -> DataFrame:
+def examples(conversations: DataFrame, keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
     """Every assistant turn as a row: ``conv_id, example, context, reply``, both parts still escaped.
 
     The context is written out only here, as its size grows with the square
-    of a conversation's length.
+    of a conversation's length; one example is held at a time.  ``keep`` names
+    columns of the conversation to repeat in its rows; with ``outer`` one
+    without assistant turns is a row of nulls.
     """
-    rows = conversations.select("conv_id", "formatted", F.posexplode("examples").alias("example", "e"))
+    explode = F.posexplode_outer if outer else F.posexplode
+    rows = conversations.select("conv_id", "formatted", *keep, explode("examples").alias("example", "e"))
     return rows.select(
-        "conv_id", "example",
+        "conv_id", *keep, "example",
         F.substr("formatted", F.lit(1), F.col("e.context_chars").cast("int")).alias("context"),
         F.substr("formatted", (F.col("e.context_chars") + 1).cast("int"), F.col("e.reply_chars").cast("int")).alias("reply"),
     )
 
 
+def masked_text(context: Column, reply: Column) -> Column:
+    """What the loss mask of an example covers, unescaped: all of its text after the context."""
+    return unescaped(F.substr(F.concat(context, reply), F.length(context) + 1))
+
+
 def read_back(conversations: DataFrame) -> DataFrame:
     """Adds ``turns`` (role and text, unescaped) and ``loss`` (the masked texts, unescaped) from the formatted text."""
     parts = F.split("formatted", "<\\|im_end\\|>\n")
