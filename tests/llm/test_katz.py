@@ -111,6 +111,19 @@ def test_scores_same_as_dictionaries(spark, frequent, block, seed):
     same(katz.score(frame, model, block=block).collect(), [(i, *plain.row(t)) for i, t, _ in rows])
 
 
+@pytest.mark.parametrize("classes, block, seed", [(20, 7, 2), (3, 40, 3), (1, 1_500_000, 4)])
+def test_words_beyond_the_classes_have_bigrams_of_their_own(spark, monkeypatch, classes, block, seed):
+    monkeypatch.setattr(katz, "FREQUENT", classes)
+    texts = [*made_up(seed), "w59 w58 w59 w58 new w59", "new new w1 new"]
+    rows = [(n // 2 if n % 5 else None, t, 0) for n, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(4)
+    plain = Plain([t for i, t, _ in rows if i is not None and i % 3], len(rows) * 1000)
+    want = [(i, *plain.row(t)) for i, t, _ in rows]
+    same(katz.score(frame, katz.fit(frame.filter("doc_id % 3 > 0"), block=block), block=block).collect(), want)
+    marked = frame.selectExpr("*", "doc_id % 3 > 0 AS learns")
+    same(katz.fit_and_score(marked, "learns", block=block).collect(), want)
+
+
 def test_probabilities_add_up_after_every_class(spark):
     for seed, frequent in ((5, 20), (6, 65_534)):
         frame = spark.createDataFrame([(t,) for t in made_up(seed)], "text string")

@@ -2,25 +2,31 @@
 
 The outcomes are the words, the end of a text and the unknown word.  Word
 counts are discounted by Good-Turing, and what that frees is the probability
-of the unknown word.  Above the words stands a bigram model over classes: each
-of the most frequent words is one, the end is one, and all other words,
-unknown ones included, are one together.  A class seen after its predecessor
-has its discounted share of the count; otherwise the model backs off to the
-class alone, times a weight that makes the probabilities after every
-predecessor add up to one exactly.  A word of the common class has its share of the class
-by its own discounted count, so the words too add up to one.
-
-With classes of 16 bits a bigram is a number of 32 bits, and all that depends
-on one class (counts, backoff weights) is a table of fixed size.  Bigram
-counts are kept in a table partitioned by the hash of the bigram.  Texts are
-cut into blocks of tokens; a block asks each part for the counts of its own
-different bigrams, so repeated ones are shuffled once a block, and parts take
-blocks one after the other.  Counts of words outside the frequent ones come
-by a join on the word.
+of the unknown word.  Above the words stands a bigram model: a word seen after
+its predecessor has its discounted share of the count; otherwise the model
+backs off to the word alone, times a weight that makes the probabilities after
+every predecessor add up to one exactly.
+
+The most frequent words, the end and the unknown word are classes of 16 bits.
+A bigram of two classes is a number of 32 bits, and all that depends on one
+class (counts, backoff weights) is a table of fixed size.  Every other word is
+listed: it has a number of its own above the classes, and a bigram with such a
+word is a number of 64 bits.  If a number of frequent words is asked for, all
+other words are one class together instead, unknown ones included, and each
+has its share of the class by its own discounted count.
+
+Texts are cut into blocks of tokens.  A block asks the parts of the word list
+for the numbers and counts of its different words that are no classes, and
+later the parts of the bigram table for the counts of its different bigrams,
+so repeated ones are shuffled once a block, and parts take blocks one after
+the other.  Bigrams of two classes, and those of a class and a listed word,
+are in the part of their hash; those after a listed word are in the part of
+that word's hash, which so knows its weight.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,18 +34,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import Rows, documents_of, packed, picked, unpacked
-from tidemark.session import written
+from tidemark.session import Scratch, scratch, written
 
-RARE, EDGE = 0, 1  # the class of all other words; the start of a text as predecessor, its end as token
-FREQUENT = 65_534  # words with a class of their own, the most frequent ones; with the two above, 16 bits
-CLASSES = FREQUENT + 2
+RARE, EDGE = 0, 1  # the class of words without number; the start of a text as predecessor, its end as token
+FREQUENT = 65_534  # words that are classes, the most frequent ones; with the two above, 16 bits
+CLASSES = 1 << 16  # numbers of listed words begin here
 DEPTH = 5  # counts up to here are discounted by Good-Turing
 BLOCK_TOKENS = 1_500_000
 PART_TOKENS = 2_000_000  # tokens of the corpus for each part of the bigram table
 MOST_PARTS = 4096  # of 2 ** 32 bigrams a part then has a million at most, however large the corpus
+LIST_WORDS = 200_000  # listed words for each part of the list
 KNOWN_WORDS = 400_000  # different words counted by a task before they are passed on
 
 
@@ -97,31 +104,50 @@ class ClassModel:
             backed_off = np.log10(self.weight[first] * self.alone[second])
         return np.where(counts > 0, seen, backed_off)
 
-    def base_logs(self) -> np.ndarray:
-        """Log10 of the add-a-tenth probability of a token of each class with one word."""
-        return np.log10((self.counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
+    def listed_alone(self, counts: np.ndarray) -> np.ndarray:
+        """Probability alone of words outside the classes by their counts; 0 is an unknown word."""
+        return np.where(counts > 0, discounted(counts, self.word_factors) / max(self.tokens, 1), self.unknown)
 
-    def rare_columns(self, n: Column, times: Column) -> dict[str, Column]:
-        """What ``times`` tokens of a rare word counted ``n`` times (null: unknown) add to a text, beside their class."""
-        factor = F.lit(float(self.word_factors[-1]))
-        for r in range(DEPTH, 0, -1):
-            factor = F.when(n == r, F.lit(float(self.word_factors[r]))).otherwise(factor)
-        own = F.coalesce(factor * n / F.lit(float(max(self.tokens, 1))), F.lit(self.unknown))
-        base = (F.coalesce(n, F.lit(0)) + 0.1) / F.lit(self.tokens + 0.1 * (self.distinct + 1))
-        return {
-            "n_known": F.when(n.isNotNull(), times).otherwise(0),
-            "base_score": times * F.log10(base), "score": times * F.log10(own / F.lit(float(self.alone[RARE]))),
-        }
+    def base_logs(self, counts: np.ndarray) -> np.ndarray:
+        """Log10 of the add-a-tenth probability of tokens counted so often."""
+        return np.log10((counts + 0.1) / (self.tokens + 0.1 * (self.distinct + 1)))
 
 
 @dataclass(frozen=True)
-class KatzModel:
+class Vocabulary:
     words: DataFrame  # word, n
-    bigrams: DataFrame  # part, size, keys, counts, and sums per predecessor; one row a part
-    parts: int
     frequent: list[bytes]
+    listed: DataFrame  # part, size, words, counts; the words that are no classes, one row a part
+    first: np.ndarray  # number of the first listed word of each part
+    whole: bool  # bigrams of listed words are counted; else these are one class
+    counts: np.ndarray  # of each class
+    alone: np.ndarray  # probability of each class alone
+    factors: np.ndarray
+    unknown: float
+    tokens: int
+    distinct: int
+
+    @property
+    def outcomes(self) -> int:
+        return int((self.alone > 0).sum()) + self.whole * (self.distinct - int((self.counts > 0).sum()))
+
+
+@dataclass(frozen=True)
+class KatzModel:
+    vocabulary: Vocabulary
+    bigrams: DataFrame  # part, size, keys, counts, and sums per predecessor; one row a part
+    parts: int  # of bigrams of two classes; the parts after these are of those with a listed word
+    listed_parts: int
     classes: ClassModel
 
+    @property
+    def words(self) -> DataFrame:
+        return self.vocabulary.words
+
+    @property
+    def frequent(self) -> list[bytes]:
+        return self.vocabulary.frequent
+
 
 def unknown_share(factors: np.ndarray, spectrum: np.ndarray, tokens: int) -> float:
     """Probability of the unknown word: what the discounts of all words free; 1 without tokens."""
@@ -152,19 +178,208 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-# bigrams ----------------------------------------------------------------------------------------
+# words to numbers -------------------------------------------------------------------------------
+
+LIST = "part int, size bigint, words binary, counts binary"
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each part of the list, from its words in order."""
+    schema = pa.schema([("part", pa.int32()), ("size", pa.int64()), ("words", pa.binary()), ("counts", pa.binary())])
+    current, words, counts = None, [], []
+
+    def row() -> pa.RecordBatch:
+        values = [current, len(words), _joined(words), _wide(np.array(counts, np.int64))]
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+
+    for part, word, n in documents_of(batches, 8192):
+        if part != current and words:
+            yield row()
+            words, counts = [], []
+        current = part
+        words.append(word.encode())
+        counts.append(n)
+    if words:
+        yield row()
+
+
+def _joined(words: list[bytes]) -> bytes:
+    """The words, without line feeds by their nature, behind their length in bytes."""
+    raw = b"\n".join(words)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _split(raw: bytes) -> list[bytes]:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True).split(b"\n")
+
+
+class _Numbers(dict):
+    """Words to classes; other words to numbers above these, by their appearance in the block."""
+
+    def __init__(self, frequent: list[bytes]):
+        super().__init__((w, n + 2) for n, w in enumerate(frequent))
+        self.others: list[bytes] = []
 
-class _Classes(dict):
     def __missing__(self, word: bytes) -> int:
-        return RARE
+        number = self[word] = CLASSES + len(self.others)
+        self.others.append(word)
+        return number
+
+    def renew(self) -> list[bytes]:
+        others, self.others = self.others, []
+        for word in others:
+            del self[word]
+        return others
+
+
+BLOCKS = pa.schema([
+    ("block", pa.int64()), ("uids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
+    ("learns", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("numbers", pa.binary()),
+    ("parts", pa.list_(pa.int32())), ("word_sizes", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())),
+])
+PIECES = (
+    "block bigint, uids array<bigint>, doc_ids array<bigint>, learns array<boolean>, sizes array<bigint>, numbers binary"
+)
+BLOCK_COLUMNS = PIECES + ", parts array<int>, word_sizes array<bigint>, words array<binary>"
+ENCODED = PIECES + ", listed bigint, counts binary"
+
+
+def _blocks(frequent: list[bytes], parts: int, limit: int):
+    """Cuts texts into pieces, each after the token before it, and blocks of these of some ``limit`` tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, numbers = TaskContext.get().partitionId() << 40, _Numbers(frequent)
+        find, waiting, size, n_blocks = numbers.__getitem__, [], 0, 0
+
+        def row() -> pa.RecordBatch:
+            others = numbers.renew()
+            of = [zlib.crc32(w) % parts for w in others]
+            order = sorted(range(len(others)), key=lambda i: (of[i], others[i]))
+            rank = np.empty(len(others), np.uint32)
+            rank[order] = np.arange(len(others), dtype=np.uint32)
+            own, sizes = np.unique(np.array(of, np.int64), return_counts=True)
+            ends = np.cumsum(sizes).tolist()
+            lists = [_joined([others[i] for i in order[a:b]]) for a, b in zip([0, *ends], ends)]
+            tokens = np.concatenate([p[3] for p in waiting])
+            far = tokens >= CLASSES
+            tokens[far] = CLASSES + rank[tokens[far] - CLASSES]
+            values = [
+                base + n_blocks, *([p[i] for p in waiting] for i in range(3)), [len(p[3]) for p in waiting],
+                packed(tokens), own.tolist(), sizes.tolist(), lists,
+            ]
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, BLOCKS)], schema=BLOCKS)
+
+        for uid, (doc_id, text, learns) in enumerate(documents_of(batches), base):
+            words = tokens_of(text)
+            for start in range(0, len(words) + 1, limit):
+                own = words[max(start - 1, 0) : start + limit]
+                ends = start + limit > len(words)
+                piece = np.full((not start) + len(own) + ends, EDGE, np.uint32)
+                piece[int(not start) : int(not start) + len(own)] = np.fromiter(map(find, own), np.uint32, len(own))
+                waiting.append((uid, doc_id, learns, piece))
+                size += len(piece)
+                if size >= limit:
+                    yield row()
+                    waiting, size, n_blocks = [], 0, n_blocks + 1
+        if waiting:
+            yield row()
+
+    return run
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places and counts of each block's words, from the rows of a part: its list first, then the blocks that ask."""
+    schema = pa.schema([("of", pa.int64()), ("part", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+    out, current, places, counts = Rows(schema), None, {}, np.zeros(1, np.int64)
+    for part, block, n, raw, known in documents_of(batches, 16):
+        if part != current:
+            current, places, counts = part, {}, np.zeros(1, np.int64)
+        if block is None:
+            places = {w: i for i, w in enumerate(_split(raw), 1)}
+            counts = np.concatenate(([0], _narrow(known, n)))
+            continue
+        found = np.array([places.get(w, 0) for w in _split(raw)], np.int64)
+        values = packed(found), _wide(counts[found])
+        out.add(block, part, *values, size=sum(map(len, values)))
+        if out.full():
+            yield out.batch()
+    yield from out.drain()
+
+
+def _numbered(first: np.ndarray):
+    """The words of a block by their numbers in the list; unknown ones by the class of words without number."""
+    names = [f.split()[0] for f in ENCODED.split(", ")]
+
+    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        sizes = blocks.column("sizes")[0].as_py()
+        parts, word_sizes = blocks.column("parts")[0].as_py(), blocks.column("word_sizes")[0].as_py()
+        found = {p: (a, c) for p, a, c in zip(*(answers.column(c).to_pylist() for c in ("part", "places", "counts")))}
+        numbers, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for part, n in zip(parts, word_sizes):
+            places = unpacked(found[part][0], n)
+            numbers.append(np.where(places > 0, first[part] + places - 1, RARE))
+            counts.append(_narrow(found[part][1], n))
+        numbers, counts = np.concatenate(numbers), np.concatenate(counts)
+        tokens = unpacked(blocks.column("numbers")[0].as_py(), sum(sizes))
+        far = tokens >= CLASSES
+        tokens[far] = numbers[tokens[far] - CLASSES]
+        known = np.flatnonzero(numbers >= CLASSES)
+        known = known[np.argsort(numbers[known])]
+        last = [packed(tokens), len(known), _wide(counts[known])]
+        kinds = [pa.binary(), pa.int64(), pa.binary()]
+        kept = [blocks.column(c).combine_chunks() for c in names[:5]]
+        return pa.table(dict(zip(names, [*kept, *(pa.array([v], t) for v, t in zip(last, kinds))])))
+
+    return run
 
 
-def bigrams_of(sequences: list[np.ndarray]) -> np.ndarray:
-    """Bigrams of sequences that each begin with the class before their first token."""
-    joined = np.concatenate(sequences).astype(np.uint32)
-    keys = joined[:-1] << np.uint32(16) | joined[1:]
+def encode(texts: DataFrame, vocabulary: Vocabulary, block: int) -> DataFrame:
+    """``doc_id, text, learns`` as blocks of numbers, with the counts of their listed words in order of the numbers."""
+    parts, null = len(vocabulary.first), F.lit(None)
+    with scratch(texts.sparkSession) as own:
+        blocks = written(texts.mapInArrow(_blocks(vocabulary.frequent, parts, block), BLOCK_COLUMNS), "blocks")
+        asked = blocks.select("block", F.explode(F.arrays_zip("parts", "word_sizes", "words")).alias("cell"))
+        kinds = ["part", "block", "size", "words", "counts"]
+        asked = asked.select("cell.parts", "block", "cell.word_sizes", "cell.words", null.cast("binary")).toDF(*kinds)
+        table = vocabulary.listed.select("part", null.cast("bigint").alias("block"), "size", "words", "counts")
+        rows = table.union(asked).repartition(parts, "part").sortWithinPartitions("part", F.col("block").asc_nulls_first())
+        answers = rows.mapInArrow(_looked_up, "of bigint, part int, places binary, counts binary")
+        plain = blocks.drop("words").groupBy("block").cogroup(answers.groupBy("of"))
+        return own.keep(written(plain.applyInArrow(_numbered(vocabulary.first), ENCODED), "numbers"))
+
+
+# bigrams ----------------------------------------------------------------------------------------
+
+def pairs_of(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Firsts and seconds of sequences that each begin with the token before their first one."""
+    joined = np.concatenate(sequences)
     ends = np.cumsum([len(s) for s in sequences])[:-1]
-    return np.delete(keys, ends - 1)
+    return np.delete(joined[:-1], ends - 1), np.delete(joined[1:], ends - 1)
+
+
+class Block:
+    """Bigrams of a block of numbers: ``near`` ones of two classes, the others with a listed word."""
+
+    def __init__(self, sizes: list[int], numbers: bytes, listed: int, counts: bytes, whole: bool, only: list[bool] | None = None):
+        sequences = np.split(unpacked(numbers, sum(sizes)), np.cumsum(sizes)[:-1])
+        self.listed = np.unique(np.concatenate(sequences))
+        self.listed, self.listed_counts = self.listed[self.listed >= CLASSES], _narrow(counts, listed)
+        self.sequences = sequences if only is None else [s for s, own in zip(sequences, only) if own]
+        if not self.sequences:
+            self.sequences = [np.empty(0, np.int64)]
+        self.first, self.second = pairs_of(self.sequences)
+        # without whole bigrams the listed words are one class
+        a, b = (n if whole else np.where(n < CLASSES, n, RARE) for n in (self.first, self.second))
+        self.near = (a < CLASSES) & (b < CLASSES)
+        self.near_keys = (a[self.near] << 16 | b[self.near]).astype(np.uint32)
+        self.far_keys = a[~self.near].astype(np.uint64) << np.uint64(32) | b[~self.near].astype(np.uint64)
+
+    def count(self, numbers: np.ndarray) -> np.ndarray:
+        """How often listed words were counted; 0 for others."""
+        found = np.zeros(len(numbers), np.int64)
+        far = numbers >= CLASSES
+        found[far] = self.listed_counts[np.searchsorted(self.listed, numbers[far])]
+        return found
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -172,9 +387,15 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return (mixed * np.uint64(parts) >> np.uint64(32)).astype(np.uint16)
 
 
-def _in_parts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+def far_part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a listed word and all its successors, or else of the bigram."""
+    first = keys >> np.uint64(32)
+    mixed = np.where(first >= CLASSES, first, keys) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
+    return (mixed * np.uint64(parts) >> np.uint64(32)).astype(np.uint32)
+
+
+def _in_parts(of: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """An order of ascending keys by part, ascending within it; and the edges of the parts."""
-    of = part_of(keys, parts)
     order = np.argsort(of, kind="stable")
     return order, np.searchsorted(of[order], np.arange(parts + 1))
 
@@ -187,44 +408,39 @@ def _keys_unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(unpacked(raw, n)).astype(np.uint32)
 
 
-class _Pieces:
-    """Cuts texts into pieces of classes, each after the class before it, and blocks of these."""
+def _far_packed(keys: np.ndarray) -> bytes:
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return packed(np.concatenate((steps & np.uint64(0xFFFFFFFF), steps >> np.uint64(32))))
 
-    def __init__(self, frequent: list[bytes], limit: int):
-        self.find = _Classes((w, n + 2) for n, w in enumerate(frequent)).__getitem__
-        self.limit = limit
 
-    def blocks(self, texts: Iterator[tuple]) -> Iterator[list[tuple]]:
-        """Lists of (number of the text, its id, classes, rare words), of some ``limit`` tokens."""
-        waiting, size = [], 0
-        for number, (doc_id, text) in enumerate(texts):
-            words = tokens_of(text)
-            classes = np.fromiter(map(self.find, words), np.uint16, len(words))
-            whole = np.concatenate(([EDGE], classes, [EDGE])).astype(np.uint16)
-            for start in range(0, len(whole) - 1, self.limit):
-                piece = whole[start : start + self.limit + 1]
-                rare = np.flatnonzero(classes[start : start + self.limit] == RARE) + start
-                waiting.append((number, doc_id, piece, [words[i] for i in rare.tolist()]))
-                size += len(piece)
-                if size >= self.limit:
-                    yield waiting
-                    waiting, size = [], 0
-        if waiting:
-            yield waiting
+def _far_unpacked(raw: bytes, n: int) -> np.ndarray:
+    both = unpacked(raw, 2 * n).astype(np.uint64)
+    return np.cumsum(both[:n] | both[n:] << np.uint64(32), dtype=np.uint64)
+
 
+CELLS = "part int, size bigint, keys binary, counts binary, alone binary"
 
-def _train_cells(frequent: list[bytes], parts: int, limit: int):
-    schema = pa.schema([("part", pa.int32()), ("size", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+def _train_cells(whole: bool, parts: int, listed_parts: int):
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    schema = pa.schema([(c.split()[0], t) for c, t in zip(CELLS.split(", "), kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = ((None, text) for (text,) in documents_of(batches))
-        for block in _Pieces(frequent, limit).blocks(texts):
-            keys, counts = np.unique(bigrams_of([p[2] for p in block]), return_counts=True)
-            order, edges = _in_parts(keys, parts)
-            keys, counts, out = keys[order], counts[order], Rows(schema)
+        for learns, *rest in documents_of(batches, 1):
+            block, out = Block(*rest, whole, learns), Rows(schema)
+            keys, counts = np.unique(block.near_keys, return_counts=True)
+            order, edges = _in_parts(part_of(keys, parts), parts)
+            keys, counts = keys[order], counts[order]
+            for part, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                if b > a:
+                    out.add(part, b - a, _keys_packed(keys[a:b]), packed(counts[a:b]), None)
+            keys, counts = np.unique(block.far_keys, return_counts=True)
+            order, edges = _in_parts(far_part_of(keys, listed_parts), listed_parts)
+            keys, counts = keys[order], counts[order]
+            alone = block.count((keys & np.uint64(0xFFFFFFFF)).astype(np.int64))
             for part, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
                 if b > a:
-                    out.add(part, b - a, _keys_packed(keys[a:b]), packed(counts[a:b]))
+                    out.add(parts + part, b - a, _far_packed(keys[a:b]), packed(counts[a:b]), _wide(alone[a:b]))
             yield from out.drain()
 
     return run
@@ -232,7 +448,7 @@ def _train_cells(frequent: list[bytes], parts: int, limit: int):
 
 PARTS = (
     "part int, size bigint, keys binary, counts binary, n array<bigint>, context array<int>, seen array<bigint>,"
-    " lower array<double>, " + ", ".join(f"m{r} array<bigint>" for r in range(1, DEPTH + 1))
+    " lower array<double>, " + ", ".join(f"m{r} array<bigint>" for r in range(1, DEPTH + 1)) + ", listed_lower binary"
 )
 
 
@@ -246,42 +462,55 @@ def _narrow(raw: bytes, n: int) -> np.ndarray:
     return both[:n] | both[n:] << 32
 
 
-def _merged_parts(alone: np.ndarray):
-    names = ["part", "size", "keys", "counts", "n", "context", "seen", "lower", *[f"m{r}" for r in range(1, DEPTH + 1)]]
+def _merged_parts(vocabulary: Vocabulary, parts: int):
+    names = [f.split()[0] for f in PARTS.split(", ")]
+    alone, factors, tokens = vocabulary.alone, vocabulary.factors, max(vocabulary.tokens, 1)
 
-    def row(part: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    def row(part: int, keys: np.ndarray, counts: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
         spectrum = np.bincount(counts[counts <= DEPTH + 1], minlength=DEPTH + 2)
-        first = (keys >> 16).astype(np.int64)
+        if part < parts:
+            first, lower, listed_lower = (keys >> 16).astype(np.int64), alone[keys & 0xFFFF], None
+        else:
+            first, after = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            lower = np.where(after < CLASSES, alone[np.minimum(after, CLASSES - 1)], discounted(second, factors) / tokens)
+            far = first >= CLASSES
+            k = np.unique(first[far], return_inverse=True)[1]
+            listed_lower = pa.compress(np.bincount(k, lower[far]).tobytes(), codec="zstd", asbytes=True)
+            first, lower, low = first[~far], lower[~far], counts[~far]
+        if part < parts:
+            low = counts
         context, place = np.unique(first, return_inverse=True)
         k = len(context)
         values = [
-            part, len(keys), _keys_packed(keys), _wide(counts), spectrum, context.astype(np.int32),
-            np.bincount(place, minlength=k), np.bincount(place, alone[keys & 0xFFFF], k),
-            *[np.bincount(place[counts == r], minlength=k) for r in range(1, DEPTH + 1)],
+            part, len(keys), _keys_packed(keys) if part < parts else _far_packed(keys), _wide(counts), spectrum,
+            context.astype(np.int32), np.bincount(place, minlength=k), np.bincount(place, lower, k),
+            *[np.bincount(place[low == r], minlength=k) for r in range(1, DEPTH + 1)], listed_lower,
         ]
         kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()),
-                 pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * DEPTH]
+                 pa.list_(pa.int64()), pa.list_(pa.float64()), *[pa.list_(pa.int64())] * DEPTH, pa.binary()]
         arrays = [pa.array([v.tolist() if isinstance(v, np.ndarray) else v], t) for v, t in zip(values, kinds)]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size, current = 0, None
 
-        def joined() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([k for k, _ in held])
-            counts = np.concatenate([c for _, c in held])
+        def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            keys, counts, second = (np.concatenate(of) for of in zip(*held))
             order = np.argsort(keys, kind="stable")
             keys, counts = keys[order], counts[order]
             starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            return keys[starts], np.add.reduceat(counts, starts)
+            return keys[starts], np.add.reduceat(counts, starts), second[order][starts] if len(second) else second
 
-        for part, n, raw, counts in documents_of(batches):
+        for part, n, raw, counts, second in documents_of(batches, 16):
             if part != current and held:
                 yield row(current, *joined())
                 held, size = [], 0
             current = part
-            held.append((_keys_unpacked(raw, n), unpacked(counts, n)))
+            if part < parts:
+                held.append((_keys_unpacked(raw, n), unpacked(counts, n), np.empty(0, np.int64)))
+            else:
+                held.append((_far_unpacked(raw, n), unpacked(counts, n), _narrow(second, n)))
             size += n
             if size > 4_000_000:  # many blocks: what is held becomes one list of different bigrams
                 held = [joined()]
@@ -314,41 +543,57 @@ def most_frequent(words: DataFrame, limit: int) -> list:
     return words.filter(F.col("n") >= 1 << least).orderBy(F.desc("n"), "word").limit(limit).collect()
 
 
-def fit(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT, block: int = BLOCK_TOKENS) -> KatzModel:
-    """Learn from every row of ``docs``; a null text counts as empty.
-
-    The driver gets the most frequent words (``frequent`` of them, equally
-    frequent ones by their letters), sums per class and single rows of
-    sums: at most 65,536 rows each, whatever the corpus.
-    """
-    texts = picked(docs, text=(text_col, "string")).select(F.coalesce("text", F.lit("")).alias("text"))
+def learn_words(texts: DataFrame, frequent: int | None) -> Vocabulary:
+    """The words of ``text``, counted, and the list of those that are no classes."""
+    limit = min(FREQUENT if frequent is None else frequent, FREQUENT)
     partial = texts.mapInArrow(_counted, "word string, n bigint")
     words = written(partial.groupBy("word").agg(F.sum("n").alias("n")), "words")
     n_docs = texts.count()
     known, n_words = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     tokens, distinct = n_words + n_docs, known + (n_docs > 0)
-    top = most_frequent(words, min(frequent, FREQUENT))
+    top = most_frequent(words, limit)
     names, counts = [r["word"].encode() for r in top], np.zeros(CLASSES, np.int64)
     counts[2 : 2 + len(top)] = [r["n"] for r in top]
-    counts[EDGE], counts[RARE] = n_docs, n_words - int(counts[2:].sum())
+    counts[EDGE] = n_docs
+
+    # the words after the last class in the order of most_frequent
+    last = top[-1] if top else None
+    after = (F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"]) if top else F.lit(True)
+    parts = 8 + known // LIST_WORDS
+    rest = words.filter(after).select((F.crc32("word") % parts).cast("int").alias("part"), "word", "n")
+    rows = rest.repartition(parts, "part").sortWithinPartitions("part", "word")
+    listed, sizes = written(rows.mapInArrow(_listed, LIST), "list"), np.zeros(parts, np.int64)
+    for r in listed.select("part", "size").collect():
+        sizes[r["part"]] = r["size"]
+    if sizes.sum() > (1 << 32) - CLASSES:
+        raise ValueError("more different words than numbers of 32 bits")
+    first = CLASSES + np.cumsum(sizes) - sizes
 
     spectrum = np.array(_spectrum(words, "n", DEPTH + 2))
     if 0 < n_docs < len(spectrum):
         spectrum[n_docs] += 1  # the end is counted as often as there are texts
-    word_factors = discounts(spectrum, tokens)
-    unknown, alone = unknown_share(word_factors, spectrum, tokens), np.zeros(CLASSES)
+    factors = discounts(spectrum, tokens)
+    unknown, alone, whole = unknown_share(factors, spectrum, tokens), np.zeros(CLASSES), frequent is None
     if tokens:
-        alone[1:] = discounted(counts[1:], word_factors) / tokens
-        alone[RARE] = max(1 - alone.sum(), unknown)
+        if not whole:
+            counts[RARE] = n_words - int(counts[2:].sum())
+        alone[1:] = discounted(counts[1:], factors) / tokens
+        alone[RARE] = unknown if whole else max(1 - alone.sum(), unknown)
     else:
         alone[RARE] = alone[EDGE] = 1.0  # nothing is known: every token is certain
+    return Vocabulary(words, names, listed, first, whole, counts, alone, factors, unknown, tokens, distinct)
+
 
-    parts = min(MOST_PARTS, 8 + tokens // PART_TOKENS)
-    cells = texts.mapInArrow(_train_cells(names, parts, block), "part int, size bigint, keys binary, counts binary")
-    merged = cells.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_merged_parts(alone), PARTS)
-    bigrams = written(merged, "bigrams", "part")
+def learn_bigrams(encoded: DataFrame, vocabulary: Vocabulary) -> KatzModel:
+    """The bigrams of the pieces that are to be learnt from."""
+    v = vocabulary
+    parts, listed_parts = min(MOST_PARTS, 8 + v.tokens // PART_TOKENS), 8 + v.tokens // PART_TOKENS
+    blocks = encoded.select("learns", "sizes", "numbers", "listed", "counts")
+    cells = blocks.mapInArrow(_train_cells(v.whole, parts, listed_parts), CELLS)
+    cells = cells.repartition(parts + listed_parts * v.whole, "part").sortWithinPartitions("part")
+    bigrams = written(cells.mapInArrow(_merged_parts(v, parts), PARTS), "bigrams", "part")
     sums = bigrams.agg(*[F.sum(F.col("n")[r]) for r in range(1, DEPTH + 2)]).first()
-    bigram_factors = discounts(np.array([0, *[s or 0 for s in sums]]), tokens)
+    bigram_factors = discounts(np.array([0, *[s or 0 for s in sums]]), v.tokens)
 
     columns = ["context", "seen", "lower", *[f"m{r}" for r in range(1, DEPTH + 1)]]
     one = bigrams.select(F.explode(F.arrays_zip(*columns)).alias("of")).select("of.*")
@@ -356,9 +601,26 @@ def fit(docs: DataFrame, text_col: str = "text", frequent: int = FREQUENT, block
     for r in one.groupBy("context").agg(*[F.sum(c).alias(c) for c in columns[1:]]).collect():
         seen[r["context"]], lower[r["context"]] = r["seen"], r["lower"]
         low[1:, r["context"]] = r[3:]
-    norm, weight = backoff(counts, seen, lower, low, bigram_factors, int((alone > 0).sum()))
-    classes = ClassModel(counts, alone, norm, weight, word_factors, bigram_factors, unknown, tokens, distinct)
-    return KatzModel(words, bigrams, parts, names, classes)
+    norm, weight = backoff(v.counts, seen, lower, low, bigram_factors, v.outcomes)
+    classes = ClassModel(v.counts, v.alone, norm, weight, v.factors, bigram_factors, v.unknown, v.tokens, v.distinct)
+    return KatzModel(v, bigrams, parts, listed_parts, classes)
+
+
+def fit(docs: DataFrame, text_col: str = "text", frequent: int | None = None, block: int = BLOCK_TOKENS) -> KatzModel:
+    """Learn from every row of ``docs``; a null text counts as empty.
+
+    Bigrams of all words are counted, unless a number of ``frequent`` words is
+    given (equally frequent ones by their letters): then the other words are one class.
+    The driver gets the words that are classes, sums per class and single
+    rows of sums, at most 65,536 rows each, and the size of each part of the list.
+    """
+    texts, own = picked(docs, text=(text_col, "string")).select(F.coalesce("text", F.lit("")).alias("text")), Scratch()
+    vocabulary = learn_words(texts, frequent)
+    with own.collect():
+        encoded = encode(texts.select(F.lit(None).cast("bigint"), "text", F.lit(True)), vocabulary, block)
+    model = learn_bigrams(encoded, vocabulary)
+    own.drop(docs.sparkSession)
+    return model
 
 
 def backoff(
@@ -383,88 +645,157 @@ def backoff(
 
 # scoring ----------------------------------------------------------------------------------------
 
-BLOCKS = pa.schema([
-    ("block", pa.int64()), ("uids", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())),
-    ("sizes", pa.list_(pa.int64())), ("classes", pa.binary()), ("parts", pa.list_(pa.int32())),
-    ("cell_sizes", pa.list_(pa.int64())), ("cells", pa.list_(pa.binary())), ("rare_of", pa.list_(pa.int64())),
-    ("rare_words", pa.list_(pa.string())), ("rare_times", pa.list_(pa.int64())),
-])
-BLOCK_COLUMNS = (
-    "block bigint, uids array<bigint>, doc_ids array<bigint>, sizes array<bigint>, classes binary, parts array<int>,"
-    " cell_sizes array<bigint>, cells array<binary>, rare_of array<bigint>, rare_words array<string>, rare_times array<bigint>"
-)
-
+def _asking(whole: bool, parts: int, listed_parts: int):
+    schema = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("size", pa.int64()), ("keys", pa.binary())])
 
-def _asking(frequent: list[bytes], parts: int, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << 40
-        for block_number, block in enumerate(_Pieces(frequent, limit).blocks(documents_of(batches))):
-            keys = np.unique(bigrams_of([p[2] for p in block]))
-            order, edges = _in_parts(keys, parts)
-            keys = keys[order]
-            cells = [(n, a, b) for n, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())) if b > a]
-            rare = [(base + n, w, times) for n, _, _, words in block for w, times in Counter(words).items()]
-            row = [
-                base + block_number, [base + p[0] for p in block], [p[1] for p in block], [len(p[2]) for p in block],
-                packed(np.concatenate([p[2] for p in block])), [c[0] for c in cells], [b - a for _, a, b in cells],
-                [_keys_packed(keys[a:b]) for _, a, b in cells], *([r[i] for r in rare] for i in range(3)),
-            ]
-            arrays = [pa.array([v], f.type) for v, f in zip(row, BLOCKS)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=BLOCKS)
+        for number, *rest in documents_of(batches, 1):
+            block, out = Block(*rest, whole), Rows(schema)
+            near, far = np.unique(block.near_keys), np.unique(block.far_keys)
+            for keys, of, n, base, pack in (
+                (near, part_of, parts, 0, _keys_packed), (far, far_part_of, listed_parts, parts, _far_packed)
+            ):
+                order, edges = _in_parts(of(keys, n), n)
+                keys = keys[order]
+                for part, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+                    if b > a:
+                        out.add(base + part, number, b - a, pack(keys[a:b]))
+            yield from out.drain()
 
     return run
 
 
-def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Part:
+    """The bigrams of a part, and of its listed words what their counts are divided by and the weight of backing off."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, lower: bytes | None, factors: np.ndarray, outcomes: int):
+        self.keys, self.counts = keys, counts
+        self.contexts = self.norm = self.weight = np.empty(0)
+        if lower is None:
+            return
+        first = keys >> np.uint64(32)
+        far = first >= CLASSES
+        self.contexts, place = np.unique(first[far], return_inverse=True)
+        k, own = len(self.contexts), counts[far]
+        low = np.array([np.bincount(place[own == r], minlength=k) for r in range(DEPTH + 1)])
+        seen, total = np.bincount(place, minlength=k), np.zeros(k, np.int64)
+        np.add.at(total, place, own)
+        sums = np.frombuffer(pa.decompress(lower, 8 * k, codec="zstd", asbytes=True))
+        self.norm, self.weight = backoff(total, seen, sums, low, factors, outcomes)
+
+    def found(self, asked: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(asked), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, self.counts[at], 0)
+
+    def backing_off(self, asked: np.ndarray) -> bytes:
+        """Divisors and weights of the listed words that the bigrams begin with; all of these were counted."""
+        at = np.searchsorted(self.contexts, contexts_of(asked))
+        return pa.compress(np.concatenate((self.norm[at], self.weight[at])).tobytes(), codec="zstd", asbytes=True)
+
+
+def contexts_of(keys: np.ndarray) -> np.ndarray:
+    """The different listed words that ascending bigrams of 64 bits begin with."""
+    first = keys >> np.uint64(32)
+    return np.unique(first[first >= CLASSES])
+
+
+def _answered(parts: int, factors: np.ndarray, outcomes: int):
     """Counts of each block's bigrams, from the rows of a part: its table first, then the blocks that ask."""
-    schema = pa.schema([("of", pa.int64()), ("part", pa.int32()), ("answer", pa.binary())])
-    out, current, keys, counts = Rows(schema), None, np.empty(0, np.uint32), np.empty(0, np.int64)
-    for part, block, n, raw, known in documents_of(batches):
-        if part != current:
-            current, keys, counts = part, np.empty(0, np.uint32), np.empty(0, np.int64)
-        if block is None:
-            keys, counts = _keys_unpacked(raw, n), _narrow(known, n)
-            continue
-        asked, found = _keys_unpacked(raw, n), np.zeros(n, np.int64)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            found = np.where(keys[at] == asked, counts[at], 0)
-        answer = _wide(found)
-        out.add(block, part, answer, size=len(answer))
-        if out.full():
-            yield out.batch()
-    yield from out.drain()
+    schema = pa.schema([("of", pa.int64()), ("part", pa.int32()), ("answer", pa.binary()), ("weights", pa.binary())])
+    none = _Part(np.empty(0, np.uint64), np.empty(0, np.int64), None, factors, outcomes)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, current, table = Rows(schema), None, none
+        for part, block, n, raw, known, lower in documents_of(batches, 16):
+            if part != current:
+                current, table = part, none
+            keys = _keys_unpacked(raw, n) if part < parts else _far_unpacked(raw, n)
+            if block is None:
+                table = _Part(keys, _narrow(known, n), lower, factors, outcomes)
+                continue
+            answer, weights = _wide(table.found(keys)), None if part < parts else table.backing_off(keys)
+            out.add(block, part, answer, weights, size=len(answer) + len(weights or b""))
+            if out.full():
+                yield out.batch()
+        yield from out.drain()
 
-def _scored(model: ClassModel, parts: int):
-    base_logs, known = model.base_logs(), model.counts > 0
+    return run
+
+
+def _scored(model: ClassModel, whole: bool, parts: int, listed_parts: int):
     columns = ["uid", "doc_id", "n_tokens", "n_known", "base_score", "score"]
 
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        row = {c: blocks.column(c)[0].as_py() for c in ("uids", "doc_ids", "sizes", "classes")}
+        row = {c: blocks.column(c)[0].as_py() for c in blocks.column_names}
+        block = Block(*(row[c] for c in ("sizes", "numbers", "listed", "counts")), whole)
+        found = {p: (a, w) for p, a, w in zip(*(answers.column(c).to_pylist() for c in ("part", "answer", "weights")))}
+        second, listed = block.second, block.second >= CLASSES
+        times = np.where(listed, block.count(second), model.counts[np.minimum(second, CLASSES - 1)])
+        times[second == RARE] = 0
+        scores = np.empty(len(second))
+
+        keys, place = np.unique(block.near_keys, return_inverse=True)
+        order, edges = _in_parts(part_of(keys, parts), parts)
+        counts = np.zeros(len(keys), np.int64)
+        for part, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+            if b > a:
+                counts[order[a:b]] = _narrow(found[part][0], b - a)
+        scores[block.near] = model.scores(keys, counts)[place]
+        if not whole:  # the class of other words is shared by their counts
+            rare = listed | (second == RARE)
+            scores[rare] += np.log10(model.listed_alone(times[rare]) / model.alone[RARE])
+
+        keys, place = np.unique(block.far_keys, return_inverse=True)
+        order, edges = _in_parts(far_part_of(keys, listed_parts), listed_parts)
+        first, after = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        counts, near = np.zeros(len(keys), np.int64), np.minimum(first, CLASSES - 1)
+        norm, weight = model.norm[near], model.weight[near]
+        for part, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+            if b > a:
+                own, (answer, weights) = order[a:b], found[parts + part]
+                counts[own] = _narrow(answer, b - a)
+                contexts = contexts_of(keys[own]).astype(np.int64)
+                both = np.frombuffer(pa.decompress(weights, 16 * len(contexts), codec="zstd", asbytes=True)).reshape(2, -1)
+                far = own[first[own] >= CLASSES]
+                at = np.searchsorted(contexts, first[far])
+                norm[far], weight[far] = both[0, at], both[1, at]
+        alone = np.where(after < CLASSES, model.alone[np.minimum(after, CLASSES - 1)], model.listed_alone(block.count(after)))
+        with np.errstate(divide="ignore"):
+            logs = np.log10(np.where(counts > 0, discounted(counts, model.bigram_factors) / norm, weight * alone))
+        scores[~block.near] = logs[place]
+
         sizes = np.array(row["sizes"], np.int64)
-        classes = unpacked(row["classes"], int(sizes.sum())).astype(np.uint16)
-        edges = np.concatenate(([0], np.cumsum(sizes)))
-        all_keys = bigrams_of(np.split(classes, edges[1:-1]))
-        keys, place = np.unique(all_keys, return_inverse=True)
-        order, ends = _in_parts(keys, parts)
-        counts = np.empty(len(keys), np.int64)
-        for part, answer in zip(answers.column("part").to_pylist(), answers.column("answer").to_pylist()):
-            a, b = ends[part], ends[part + 1]
-            counts[order[a:b]] = _narrow(answer, int(b - a))
-        second = (all_keys & 0xFFFF).astype(np.int64)
-        own = second != RARE  # the join on the word adds the others
-        starts = edges[:-1] - np.arange(len(sizes))
+        starts = np.cumsum(sizes - 1) - (sizes - 1)
         return pa.table(dict(zip(columns, [
             pa.array(row["uids"], pa.int64()), pa.array(row["doc_ids"], pa.int64()), sizes - 1,
-            np.add.reduceat((known[second] & own).astype(np.int64), starts),
-            np.add.reduceat(np.where(own, base_logs[second], 0.0), starts),
-            np.add.reduceat(model.scores(keys, counts)[place], starts),
+            np.add.reduceat((times > 0).astype(np.int64), starts), np.add.reduceat(model.base_logs(times), starts),
+            np.add.reduceat(scores, starts),
         ])))
 
     return run
 
 
+def scores(encoded: DataFrame, model: KatzModel) -> DataFrame:
+    """What ``score`` returns, from blocks of numbers."""
+    null, whole = F.lit(None), model.vocabulary.whole
+    blocks = encoded.select("block", "sizes", "numbers", "listed", "counts")
+    cells = blocks.mapInArrow(_asking(whole, model.parts, model.listed_parts), "part int, block bigint, size bigint, keys binary")
+    asked = cells.select("*", null.cast("binary").alias("counts"), null.cast("binary").alias("listed_lower"))
+    table = model.bigrams.select("part", null.cast("bigint").alias("block"), "size", "keys", "counts", "listed_lower")
+    rows = table.union(asked).repartition(model.parts + model.listed_parts * whole, "part")
+    rows = rows.sortWithinPartitions("part", F.col("block").asc_nulls_first())
+    answered = _answered(model.parts, model.classes.bigram_factors, model.vocabulary.outcomes)
+    answers = rows.mapInArrow(answered, "of bigint, part int, answer binary, weights binary")
+    sums = "uid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+    scored = _scored(model.classes, whole, model.parts, model.listed_parts)
+    own = encoded.drop("learns").groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(scored, sums)
+    names = ("n_tokens", "n_known", "base_score", "score")
+    whole = own.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in names])
+    return whole.select("doc_id", "n_tokens", "n_known", F.lit(model.classes.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+
+
 def score(
     docs: DataFrame, model: KatzModel, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK_TOKENS
 ) -> DataFrame:
@@ -476,28 +807,19 @@ def score(
     each by itself; an empty table gives no rows; other columns are dropped,
     whatever their names.  A model that learnt from no text takes every token
     as certain (0).  A long text is cut into pieces of ``block`` tokens, each
-    after the class before it, and their scores are added up.
+    after the token before it, and their scores are added up.
     """
     both = picked(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    both = both.withColumn("text", F.coalesce("text", F.lit("")))
-    blocks = written(both.mapInArrow(_asking(model.frequent, model.parts, block), BLOCK_COLUMNS), "blocks")
-    asked = blocks.select("block", F.explode(F.arrays_zip("parts", "cell_sizes", "cells")).alias("cell"))
-    kinds = ["part", "block", "size", "keys", "counts"]
-    asked = asked.select("cell.parts", "block", "cell.cell_sizes", "cell.cells", F.lit(None).cast("binary")).toDF(*kinds)
-    table = model.bigrams.select("part", F.lit(None).cast("bigint").alias("block"), "size", "keys", "counts")
-    rows = table.union(asked).repartition(model.parts, "part").sortWithinPartitions("part", F.col("block").asc_nulls_first())
-    answers = rows.mapInArrow(_answered, "of bigint, part int, answer binary")
-    plain = blocks.select("block", "uids", "doc_ids", "sizes", "classes")
-    sums = "uid bigint, doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
-    own = plain.groupBy("block").cogroup(answers.groupBy("of")).applyInArrow(_scored(model.classes, model.parts), sums)
-
-    rare = blocks.select(F.explode(F.arrays_zip("rare_of", "rare_words", "rare_times")).alias("one"))
-    rare = rare.select(F.col("one.rare_of").alias("uid"), F.col("one.rare_words").alias("term"), F.col("one.rare_times").alias("times"))
-    found = rare.join(model.words, F.col("term") == F.col("word"), "left")
-    added = found.select("uid", *[c.alias(name) for name, c in model.classes.rare_columns(F.col("n"), F.col("times")).items()])
-    names = ["n_known", "base_score", "score"]
-    added = added.groupBy("uid").agg(*[F.sum(c).alias(c) for c in names])
-    none = [F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n_tokens")]
-    both_sums = own.unionByName(added.select("uid", *none, *names))
-    whole = both_sums.groupBy("uid").agg(F.max("doc_id").alias("doc_id"), *[F.sum(c).alias(c) for c in ("n_tokens", *names)])
-    return whole.select("doc_id", "n_tokens", "n_known", F.lit(model.classes.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    texts = both.select("doc_id", F.coalesce("text", F.lit("")), F.lit(False))
+    return scores(encode(texts, model.vocabulary, block), model)
+
+
+def fit_and_score(
+    docs: DataFrame, learns_col: str, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK_TOKENS
+) -> DataFrame:
+    """``score`` of all rows by a ``fit`` to those whose ``learns_col`` is true; the texts are numbered once for both."""
+    texts = picked(docs, doc_id=(id_col, "long"), text=(text_col, "string"), learns=(learns_col, "boolean"))
+    texts = texts.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("learns", F.lit(False)).alias("learns"))
+    vocabulary = learn_words(texts.filter("learns").select("text"), None)
+    encoded = encode(texts, vocabulary, block)
+    return scores(encoded, learn_bigrams(encoded, vocabulary))

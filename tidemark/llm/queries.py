@@ -225,5 +225,5 @@ def op12_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
     # a tenth of the documents by the hash of the id is held out; a null id counts as an empty one
     number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     held_out = (number % 10 == 0).alias("held_out")
-    scored = katz.score(docs, katz.fit(docs.filter(~held_out)))
+    scored = katz.fit_and_score(docs.withColumn("learns", ~held_out), "learns")
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
