@@ -7,7 +7,7 @@ import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, chunks, packing
+from tidemark.llm import bpe, chunks, common, packing
 
 PIECES = [" ", "\n", "a", "the", "  ", "\n\n", "\t", "é", "　", "\xa0", "漢", "<|endoftext|>", "'s", "12", ".", "\r", "\nb"]
 
@@ -27,6 +27,15 @@ def test_ids_of_odd_texts():
         assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_worker_forgets_the_parts_when_another_operator_runs():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    memory = packing.tokenizer_ids(path)
+    list(common.documents_of(iter([]), keeps=path))
+    assert packing.tokenizer_ids(path) is memory
+    list(common.documents_of(iter([])))
+    assert not common.REMEMBERED
+
+
 def test_two_tiers_on_odd_texts(monkeypatch):
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

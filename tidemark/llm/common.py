@@ -68,8 +68,33 @@ class Rows:
             yield self.batch()
 
 
-def documents_of(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
-    """Rows of Arrow batches as tuples, a few at a time, so that long texts are not all copied at once."""
+#: What a worker process remembers from task to task, by a key of the operator that does; of one at a time.
+REMEMBERED: dict = {}
+
+
+def remembered(key, make):
+    """What is remembered under the key, made first if there is nothing; what others remember goes."""
+    forget(key)
+    if key not in REMEMBERED:
+        REMEMBERED[key] = make()
+    return REMEMBERED[key]
+
+
+def forget(but=None) -> None:
+    """Workers run the tasks of one operator after those of another, which need not keep its memory meanwhile."""
+    others = [key for key in REMEMBERED if key != but]
+    for key in others:
+        del REMEMBERED[key]
+    if others:
+        pa.default_memory_pool().release_unused()
+
+
+def documents_of(batches: Iterator[pa.RecordBatch], step: int = 256, keeps=None) -> Iterator[tuple]:
+    """Rows of Arrow batches as tuples, a few at a time, so that long texts are not all copied at once.
+
+    Only what is remembered under the key ``keeps`` stays in the worker's memory.
+    """
+    forget(keeps)
     for batch in batches:
         for start in range(0, batch.num_rows, step):
             part = batch.slice(start, step)

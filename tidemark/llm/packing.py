@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.chunks import Generations, led, line_parts
-from tidemark.llm.common import Rows, documents_of, id_and_text
+from tidemark.llm.common import Rows, documents_of, id_and_text, remembered
 from tidemark.session import written
 
 SIZE = 2048  # tokens of a sequence
@@ -189,15 +189,8 @@ class TokenizerIds:
         return np.frombuffer(raw[: stops[0]] + b"".join([i if i is not None else fresh[p] for p, i in zip(rest, ids)]), "<u4")
 
 
-#: Per tokenizer file, what a worker process remembers from task to task; of one file at a time.
-REMEMBERED: dict[str, TokenizerIds] = {}
-
-
 def tokenizer_ids(path: str) -> TokenizerIds:
-    if path not in REMEMBERED:
-        REMEMBERED.clear()
-        REMEMBERED[path] = TokenizerIds(path)
-    return REMEMBERED[path]
+    return remembered(path, lambda: TokenizerIds(path))
 
 
 FIELDS = [
@@ -210,7 +203,7 @@ def _pieces(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = tokenizer_ids(path), TaskContext.get().partitionId()
         numbers, out = [0] * (size + 1), Rows(pa.schema(FIELDS))
-        for doc_id, text in documents_of(batches):
+        for doc_id, text in documents_of(batches, keeps=path):
             ids = np.append(encode(text), np.array([end_id], "<u4"))
             # all pieces are full but the first
             starts = [0, *range(len(ids) % size or size, len(ids), size)]
