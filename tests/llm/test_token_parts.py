@@ -27,6 +27,18 @@ def test_ids_of_odd_texts():
         assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_ids_of_texts_encoded_together():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode, plain = packing.TokenizerIds(path), Tokenizer.from_file(path)
+    encode.parts.most = 200
+    texts = ["", "ends blank  ", " begins", "\n\n", "word", "ends blank  ", "\nline", "a\u00a0", "\u00a0b c\x1c", "'s it", " "]
+    texts += list(odd_texts(3000)) + ["again and\nagain " * 40, "x" * 5000]
+    for start in range(0, len(texts), 37):
+        some = texts[start : start + 37]
+        for text, raw in zip(some, encode.encode(some), strict=True):
+            assert raw == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+
+
 def test_a_worker_forgets_the_parts_when_another_operator_runs():
     path = public_tokenizers.path("byte_bpe_50k.json")
     memory = packing.tokenizer_ids(path)

@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.chunks import Generations, led, line_parts
+from tidemark.llm.chunks import Generations, blocks_of, led, line_parts
 from tidemark.llm.common import Rows, documents_of, id_and_text, remembered
 from tidemark.session import written
 
 SIZE = 2048  # tokens of a sequence
 END_ID = 0  # closes every document
+BLOCK_CHARS = 200_000  # texts encoded together
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -148,9 +149,12 @@ def runs(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 class TokenizerIds:
     """Ids by a tokenizer file, with a memory for parts of texts that repeat.
 
-    The parts of a text that are not in the memory are encoded as one text.
-    No token reaches across parts, so the bytes a token stands for tell where
-    the ids of each part end.
+    The parts of some texts that are not in the memory are encoded as one
+    text, each once.  No token reaches across parts, so the bytes a token
+    stands for tell where the ids of each part end.  A first part is looked up
+    behind a line feed, a pre-token of one id that is taken away again, unless
+    it begins with white space: such a part (in a tuple), and one that ends with
+    white space, would run into its neighbours and is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -166,27 +170,54 @@ class TokenizerIds:
             self.bytes_of[number] = len(token)
 
     def __call__(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, "<u4")
-        first, *rest = line_parts(text)
-        ids, fresh = list(map(self.parts.young.get, rest)), {}
-        new = list(dict.fromkeys(p for p, i in zip(rest, ids) if i is None)) if None in ids else []
-        if new:
-            fresh = {part: some for part in new if (some := self.parts.get(part)) is not None}
-            new = [part for part in new if part not in fresh]
-        stood = [first, *map(led, new)]
-        found = self.tokenizer.encode_batch_fast(["".join(stood)], add_special_tokens=False)[0].ids
-        own = np.array(found, "<u4")
-        if not new and not fresh:
-            return np.frombuffer(own.tobytes() + b"".join(ids), "<u4")
-        ends = np.cumsum([len(p.encode()) for p in stood])
+        return np.frombuffer(self.encode([text])[0], "<u4")
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit numbers."""
+        parts, edges, skipped = [], [0], []
+        for text in texts:
+            own = line_parts(text) if text else []
+            led_first = bool(own) and own[0] != "" and not own[0][0].isspace()
+            if own:
+                own[0] = "\n" + own[0] if led_first else (own[0],)
+            parts += own
+            edges.append(len(parts))
+            skipped.append(4 * led_first)
+        ids = list(map(self.parts.young.get, parts))
+        if None in ids:
+            unknown = [n for n, some in enumerate(ids) if some is None]
+            found = self._found(dict.fromkeys([parts[n] for n in unknown]))
+            for n in unknown:
+                ids[n] = found[parts[n]]
+        return [b"".join(ids[a:b])[skip:] for a, b, skip in zip(edges, edges[1:], skipped)]
+
+    def _found(self, parts: dict) -> dict:
+        """Ids of parts that are not in the young half of the memory."""
+        found, old, put = {}, self.parts.old, self.parts.put
+        alone, joined = [], []
+        for part in parts:
+            if (some := old.get(part)) is not None:
+                found[part] = some
+            elif isinstance(part, tuple) or part[-1].isspace():
+                alone.append(part)
+            else:
+                joined.append(part)
+        for part, some in found.items():
+            put(part, some)
+        texts = [part if part[0] == "\n" else " " + part for part in joined]
+        by_itself = [part[0] if isinstance(part, tuple) else led(part) for part in alone]
+        whole, *others = self.tokenizer.encode_batch_fast(["".join(texts), *by_itself], add_special_tokens=False)
+        for part, some in zip(alone, others):
+            found[part] = np.array(some.ids, "<u4").tobytes()
+        own = np.array(whole.ids, "<u4")
+        ends = np.cumsum([len(text.encode()) for text in texts])
         stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends, side="right")).tolist()
         raw = own.tobytes()
-        for part, a, b in zip(new, stops, stops[1:]):
-            fresh[part] = raw[a:b]
+        for part, a, b in zip(joined, [0, *stops], stops):
+            found[part] = raw[a:b]
             if len(part) < 64:
-                self.parts.put(part, raw[a:b])
-        return np.frombuffer(raw[: stops[0]] + b"".join([i if i is not None else fresh[p] for p, i in zip(rest, ids)]), "<u4")
+                put(part, raw[a:b])
+        return found
 
 
 def tokenizer_ids(path: str) -> TokenizerIds:
@@ -201,19 +232,22 @@ FIELDS = [
 
 def _pieces(path: str, size: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, task = tokenizer_ids(path), TaskContext.get().partitionId()
+        encode, task = tokenizer_ids(path).encode, TaskContext.get().partitionId()
         numbers, out = [0] * (size + 1), Rows(pa.schema(FIELDS))
-        for doc_id, text in documents_of(batches, keeps=path):
-            ids = np.append(encode(text), np.array([end_id], "<u4"))
-            # all pieces are full but the first
-            starts = [0, *range(len(ids) % size or size, len(ids), size)]
-            for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
-                raw = ids[a:b].tobytes()
-                kept = raw if with_ids else None
-                out.add(doc_id, piece, a, b - a, zlib.crc32(raw), kept, task, numbers[b - a], size=len(raw) if with_ids else 0)
-                numbers[b - a] += 1
-            if out.full():
-                yield out.batch()
+        last = np.array([end_id], "<u4").tobytes()
+        for docs in blocks_of(documents_of(batches, keeps=path), BLOCK_CHARS):
+            for (doc_id, _), ids in zip(docs, encode([text for _, text in docs])):
+                ids += last
+                n = len(ids) // 4
+                # all pieces are full but the first
+                starts = [0, *range(n % size or size, n, size)]
+                for piece, (a, b) in enumerate(zip(starts, [*starts[1:], n])):
+                    raw = ids[4 * a : 4 * b]
+                    kept = raw if with_ids else None
+                    out.add(doc_id, piece, a, b - a, zlib.crc32(raw), kept, task, numbers[b - a], size=len(raw) if with_ids else 0)
+                    numbers[b - a] += 1
+                if out.full():
+                    yield out.batch()
         yield from out.drain()
 
     return run
