@@ -3,6 +3,9 @@
 import glob
 from collections import Counter
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
 from tidemark.llm import exact, hosts, simhash
 from tidemark.session import shared_dir
@@ -121,3 +124,31 @@ def test_stages_on_odd_rows(spark):
             docs = spark.createDataFrame(out.collect(), schema)
         assert sorted(r["doc_id"] for r in docs.collect()) == ([1, 4] if frame.count() else [])
         assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
+@pytest.mark.parametrize("own", [None, "1m"])
+def test_stages_pass_texts_in_small_batches(spark, tmp_path, own):
+    key, rows = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+    spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "repeat('word', 1000) AS text", "'en' AS lang", "'s' AS source").write.parquet(
+        f"{tmp_path}/documents"
+    )
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    for name in corpus_pipeline.BATCHES:
+        spark.conf.unset(name)
+    try:
+        if own:
+            spark.conf.set(key, own)
+        for _, stage in corpus_pipeline.STAGES[:2]:
+            stage(spark, docs.limit(1), "")
+            seen = [row["n"] for row in docs.mapInArrow(sizes, "n bigint").collect()]
+            assert sum(seen) > 24_000_000 and max(seen) < (1.2e6 if own else 5e6)  # 24 MB in one batch by Spark's own limits
+            assert spark.conf.get(rows) == "512" and spark.conf.get(key) == (own or str(4 << 20))
+    finally:
+        for name in corpus_pipeline.BATCHES:
+            spark.conf.unset(name)
+        corpus_pipeline.LAST.drop(spark)
