@@ -31,21 +31,18 @@ def clean_parts(text: str) -> list[str]:
     return text.split(" ") if _plain(text) else _CLEAN.split(text)
 
 
-def line_parts(text: str) -> list[str]:
-    """Like ``clean_parts``, and cut before every line feed that stands alone; such a part keeps its line feed
-    and has no space in front.
+def marked_lines(text: str, mark: str) -> str | None:
+    """The text with a mark at every place where it may be cut; none if it is empty, holds marks or has uneven white space.
 
-    A lone line feed is a pre-token of its own, so lines that begin and end
-    with common words are made of common parts.
+    These are the places of ``clean_parts`` and, if no two line feeds stand
+    together, those before a line feed.  A lone line feed is a pre-token of its
+    own, so lines that begin and end with common words are made of common parts.
     """
-    if "\n\n" not in text and _plain(text):
-        return text.replace("\n", " \n").split(" ")
-    return clean_parts(text)
-
-
-def led(part: str) -> str:
-    """A part other than the first as it stands in the text."""
-    return part if part[0] == "\n" else " " + part
+    if not text or mark in text or not _plain(text):
+        return None
+    if "\n\n" not in text:
+        text = text[0] + text[1:].replace("\n", mark + "\n")
+    return text.replace(" ", mark + " ")
 
 
 class Memo(dict):

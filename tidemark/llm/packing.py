@@ -15,7 +15,6 @@ order, and the number gives a piece its sequence and place.
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
@@ -23,16 +22,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.chunks import Generations, blocks_of, led, line_parts
+from tidemark.llm.chunks import blocks_of, clean_parts, marked_lines
 from tidemark.llm.common import Rows, documents_of, id_and_text, remembered
+from tidemark.llm.parts import BETWEEN, PartIds, different
 from tidemark.session import written
 
 SIZE = 2048  # tokens of a sequence
 END_ID = 0  # closes every document
-BLOCK_CHARS = 200_000  # texts encoded together
+BLOCK_CHARS = 4_000_000  # texts encoded together
 
 Pattern = tuple[tuple[int, ...], int]
 
@@ -149,74 +150,40 @@ def runs(patterns: list[Pattern]) -> dict[int, np.ndarray]:
 class TokenizerIds:
     """Ids by a tokenizer file, with a memory for parts of texts that repeat.
 
-    The parts of some texts that are not in the memory are encoded as one
-    text, each once.  No token reaches across parts, so the bytes a token
-    stands for tell where the ids of each part end.  A first part is looked up
-    behind a line feed, a pre-token of one id that is taken away again, unless
-    it begins with white space: such a part (in a tuple), and one that ends with
-    white space, would run into its neighbours and is encoded by itself.
+    The texts of a block are cut into parts by Arrow, and each different part
+    is looked up or encoded once, as it stands: a first part has no space in
+    front, all others that do not begin a line have.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side; no threads within one
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Generations(375_000)  # two of them, some 150 MB
-        # a byte-level vocabulary writes every byte as one character
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        for token, number in vocabulary.items():
-            self.bytes_of[number] = len(token)
+        self.parts = PartIds(Tokenizer.from_file(path), 250_000)  # some 50 MB
 
     def __call__(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode([text])[0], "<u4")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        parts, edges, skipped = [], [0], []
-        for text in texts:
-            own = line_parts(text) if text else []
-            led_first = bool(own) and own[0] != "" and not own[0][0].isspace()
-            if own:
-                own[0] = "\n" + own[0] if led_first else (own[0],)
-            parts += own
-            edges.append(len(parts))
-            skipped.append(4 * led_first)
-        ids = list(map(self.parts.young.get, parts))
-        if None in ids:
-            unknown = [n for n, some in enumerate(ids) if some is None]
-            found = self._found(dict.fromkeys([parts[n] for n in unknown]))
-            for n in unknown:
-                ids[n] = found[parts[n]]
-        return [b"".join(ids[a:b])[skip:] for a, b, skip in zip(edges, edges[1:], skipped)]
-
-    def _found(self, parts: dict) -> dict:
-        """Ids of parts that are not in the young half of the memory."""
-        found, old, put = {}, self.parts.old, self.parts.put
-        alone, joined = [], []
-        for part in parts:
-            if (some := old.get(part)) is not None:
-                found[part] = some
-            elif isinstance(part, tuple) or part[-1].isspace():
-                alone.append(part)
-            else:
-                joined.append(part)
-        for part, some in found.items():
-            put(part, some)
-        texts = [part if part[0] == "\n" else " " + part for part in joined]
-        by_itself = [part[0] if isinstance(part, tuple) else led(part) for part in alone]
-        whole, *others = self.tokenizer.encode_batch_fast(["".join(texts), *by_itself], add_special_tokens=False)
-        for part, some in zip(alone, others):
-            found[part] = np.array(some.ids, "<u4").tobytes()
-        own = np.array(whole.ids, "<u4")
-        ends = np.cumsum([len(text.encode()) for text in texts])
-        stops = (4 * np.searchsorted(np.cumsum(self.bytes_of[own]), ends, side="right")).tolist()
-        raw = own.tobytes()
-        for part, a, b in zip(joined, [0, *stops], stops):
-            found[part] = raw[a:b]
-            if len(part) < 64:
-                put(part, raw[a:b])
+        even, odd, order, found = [], [], [], [b""] * len(texts)
+        for n, text in enumerate(texts):
+            if (lines := marked_lines(text, BETWEEN)) is not None:
+                even.append(lines)
+                order.append(n)
+            elif text:
+                first, *others = clean_parts(text)
+                odd.append((n, [first, *[" " + part for part in others]]))
+        order += [n for n, _ in odd]
+        cut = pc.split_pattern(pa.array(even, pa.large_string()), BETWEEN)
+        rest = pa.array([part for _, parts in odd for part in parts], pa.large_string())
+        parts, which = different(pa.concat_arrays([cut.flatten(), rest]))
+        pool, place = self.parts.of(parts)
+        ids, counts = pool.take(place[which])
+        sizes = np.concatenate((np.diff(cut.offsets.to_numpy()), np.array([len(own) for _, own in odd], np.int64)))
+        stops = (4 * np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]).tolist()
+        raw = ids.astype("<u4").tobytes()
+        for n, a, b in zip(order, [0, *stops], stops):
+            found[n] = raw[a:b]
         return found
 
 
