@@ -105,3 +105,44 @@ def test_query_on_the_smallest_table(spark, sf):
     got = queries.op13_tokenizer_alignment(spark, sf)
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
+
+
+def test_a_block_encodes_a_word_once_whatever_signs_follow():
+    both, handed = alignment.TwoTokenizers(*PATHS), []
+    words = both.parts.words
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            handed.extend(len(text) for text in texts)
+            return words.encode_batch_fast(texts, **options)
+
+    both.parts.words = Counted()
+    rare = ["".join(random.Random(n).choices("bcdfgklmnrt", k=9)) for n in range(200)]
+    texts = [" ".join(word + sign for word in rare) for sign in ["", ".", ",", ";", "%%%", "!", ")"]]
+    parts, which, owner = alignment.spaced_parts(texts)
+    a, b, place, good = both.encode(parts)
+    assert good.all() and 0 < sum(handed) < 1.3 * len(texts[0])
+    ids, _, counts = a.of(place[which])
+    stops = np.cumsum(np.bincount(owner, counts).astype(int))[:-1]
+    for text, own in zip(texts, np.split(ids, stops)):
+        assert own.tolist() == both.a.encode(" " + text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_parts_stand_in_the_order_of_the_texts(odd):
+    texts = ["b a  c", "a b", "", "x\0y z", "c\na b", " b"] if odd else ["a b", "", "c\na b", "b"]
+    parts, which, owner = alignment.spaced_parts(texts)
+    assert len(set(parts)) == len(parts) and len(which) == len(owner) and owner.tolist() == sorted(owner.tolist())
+    for n, text in enumerate(texts):
+        assert "".join(parts[w] for w in which[owner == n]) == (" " + text if text else "")
+
+
+def test_links_of_small_groups_same_as_of_listed_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    counts_a, counts_b = rng.integers(1, 4, 500), rng.integers(1, 4, 500)
+    ids = rng.integers(0, 9, counts_a.sum()), rng.integers(0, 9, counts_b.sum())
+    doc = np.sort(rng.integers(0, 20, 500))
+    at_once = alignment.linked(*ids, counts_a, counts_b, doc, 10)
+    monkeypatch.setattr(alignment, "EXPANDED", 2)
+    for one, other in zip(at_once, alignment.linked(*ids, counts_a, counts_b, doc, 10)):
+        assert one.tolist() == other.tolist()

@@ -23,17 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.chunks import Parts, clean_parts
+from tidemark.llm.chunks import clean_parts, marked_words
 from tidemark.llm.common import documents_of, id_and_text, packed, unpacked
+from tidemark.llm.parts import BETWEEN, PartIds, byte_of_letter, different
 from tidemark.session import written
 
 SPACE = "▁"  # stands for a space in the pieces of B
 BLOCK_CHARS = 3_000_000  # a block ends after the text that reaches this
 STEPS = 65_536  # merge steps of a piece
-CHUNK = 1 << 16  # characters encoded in one call
+CHUNK = 1 << 16  # characters that B encodes in one call
 EXPANDED = 4096  # links of a group that are listed one by one; of larger groups, different pairs with their number
 
 
@@ -64,6 +66,7 @@ class TwoTokenizers:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings in a text are text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.parts = PartIds(self.a, 150_000)
         vocabulary = self.a.get_vocab(with_added_tokens=True)
         raw = byte_of_letter()
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
@@ -77,69 +80,70 @@ class TwoTokenizers:
         piece = self.b.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(number) else piece.replace(SPACE, " ").encode()
 
-    def _both(self, text: str) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Ids of a space and the text, and whether both stand for exactly its bytes."""
-        a = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
-        b = self.b.encode(text, num_threads=1)
-        raw = b" " + text.encode()
-        same = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
-        return np.array(a, np.int64), np.array(b, np.int64), same
+    def _pieces(self, text: str) -> tuple[np.ndarray, bool]:
+        """B's ids of a text that begins with a space, and whether they stand for exactly its bytes."""
+        ids = self.b.encode(text[1:], num_threads=1)  # it adds the space
+        return np.array(ids, np.int64), b"".join(map(self.bytes_b.__getitem__, ids)) == text.encode()
 
     def encode(self, parts: list[str]) -> tuple[Tokens, Tokens, np.ndarray, np.ndarray]:
         """Tokens of both for parts with a space in front, the place of each part there, and which both give back.
 
-        Parts that begin and end with other characters than white space are
-        encoded many in one call, with spaces between: there no token of
-        either reaches from one into the next.
+        For B, parts that begin and end with other characters than white space
+        are encoded many in one call: there no token of it reaches from one
+        into the next.
         """
-        firm = [n for n, p in enumerate(parts) if p and len(p) < CHUNK and not (p[0].isspace() or p[-1].isspace())]
+        firm = [n for n, p in enumerate(parts) if 1 < len(p) < CHUNK and not (p[1].isspace() or p[-1].isspace())]
         rest = sorted(set(range(len(parts))).difference(firm))
-        found: list[list[np.ndarray]] = [[], []]
-        counts: list[list[np.ndarray]] = [[], []]
+        found: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
         good: list[bool] = []
 
         def alone(part: str) -> None:
-            *ids, same = self._both(part)
-            for side in (0, 1):
-                found[side].append(ids[side])
-                counts[side].append(np.array([len(ids[side])]))
+            ids, same = self._pieces(part)
+            found.append(ids)
+            counts.append(np.array([len(ids)]))
             good.append(same)
 
         def together(some: list[str]) -> None:
-            *ids, same = self._both(" ".join(some))
-            ends = np.cumsum([1 + len(part.encode()) for part in some])
+            ids, same = self._pieces("".join(some))
             if same:
-                stops = [np.cumsum(lengths[i]) for lengths, i in zip((self.lengths_a, self.lengths_b), ids)]
-                at = [np.searchsorted(s, ends) for s in stops]
-                same = all((s[a] == ends).all() for s, a in zip(stops, at))
+                ends, stops = np.cumsum([len(part.encode()) for part in some]), np.cumsum(self.lengths_b[ids])
+                at = np.searchsorted(stops, ends)
+                same = (stops[at] == ends).all()
             if not same:
                 for part in some:
                     alone(part)
                 return
-            for side in (0, 1):
-                found[side].append(ids[side])
-                counts[side].append(np.diff(at[side] + 1, prepend=0))
+            found.append(ids)
+            counts.append(np.diff(at + 1, prepend=0))
             good.extend([True] * len(some))
 
-        sizes = np.cumsum([len(parts[n]) + 1 for n in firm]) // CHUNK
+        sizes = np.cumsum([len(parts[n]) for n in firm]) // CHUNK
         for some in np.split(np.array(firm, np.int64), np.flatnonzero(np.diff(sizes)) + 1):
             if len(some):
                 together([parts[n] for n in some.tolist()])
         for n in rest:
             alone(parts[n])
+        order = np.array(firm + rest, np.int64)
         place = np.empty(len(parts), np.int64)
-        place[firm + rest] = np.arange(len(parts))
-        tokens = [
-            Tokens(found[side], np.cumsum(np.concatenate(counts[side])) if good else np.empty(0, np.int64), lengths)
-            for side, lengths in ((0, self.lengths_a), (1, self.lengths_b))
-        ]
-        return *tokens, place, np.array(good, bool)
-
-
-def byte_of_letter() -> dict[str, int]:
-    """The byte that each letter of a byte-level vocabulary stands for: printable ones themselves, others from 256 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in plain)}
+        place[order] = np.arange(len(parts))
+        ids_a, counts_a, good_a = self._of_a([parts[n] for n in order.tolist()])
+        a = Tokens([ids_a], np.cumsum(counts_a), self.lengths_a)
+        b = Tokens(found, np.cumsum(np.concatenate(counts)) if good else np.empty(0, np.int64), self.lengths_b)
+        return a, b, place, np.array(good, bool) & good_a
+
+    def _of_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A's ids of texts, how many each has, and which they give back."""
+        pool, place = self.parts.of(texts)
+        ids, counts = pool.take(place)
+        good, ends = np.ones(len(texts), bool), np.cumsum(counts)
+        sizes = np.diff(np.concatenate(([0], np.cumsum(self.lengths_a[ids])))[ends], prepend=0)
+        tokens = list(map(self.bytes_a.__getitem__, ids.tolist()))
+        raw = [text.encode() for text in texts]
+        if sizes.tolist() != list(map(len, raw)) or b"".join(tokens) != b"".join(raw):
+            edges = [0, *ends.tolist()]
+            good[:] = [b"".join(tokens[x:y]) == own for own, x, y in zip(raw, edges, edges[1:])]
+        return ids.astype(np.int64), counts, good
 
 
 def diagonal_cuts(a: np.ndarray, b: np.ndarray, steps: int = STEPS) -> list[tuple[int, int]]:
@@ -212,9 +216,15 @@ def linked(
     each = counts_b[group[tokens]]
     first = (ends_b - counts_b)[group[tokens]]
     places = np.repeat(first - np.cumsum(each) + each, each) + np.arange(each.sum())
-    pairs = [np.repeat(ids_a[tokens], each) * width + ids_b[places]]
-    docs = [np.repeat(doc[group[tokens]], each)]
-    times = [np.ones(len(places), np.int64)]
+    pairs, docs = np.repeat(ids_a[tokens], each) * width + ids_b[places], np.repeat(doc[group[tokens]], each)
+    bits = int(doc.max()).bit_length()
+    if small.all() and int(pairs.max()).bit_length() + bits < 63:  # both in one number, each once for one link
+        span = np.int64(pairs.max()) + 1
+        keys = np.sort(docs * span + pairs)
+        starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        docs, pairs = np.divmod(keys[starts], span)
+        return docs, pairs, np.diff(np.append(starts, len(keys)))
+    pairs, docs, times = [pairs], [docs], [np.ones(len(places), np.int64)]
     for g in np.flatnonzero(~small).tolist():
         a, na = np.unique(ids_a[ends_a[g] - counts_a[g] : ends_a[g]], return_counts=True)
         b, nb = np.unique(ids_b[ends_b[g] - counts_b[g] : ends_b[g]], return_counts=True)
@@ -269,6 +279,27 @@ KINDS = (
 )
 
 
+def spaced_parts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different parts of texts, a space in front of each; of all parts in turn, the place among these and the text."""
+    even, odd, order = [], [], []
+    for n, text in enumerate(texts):
+        if (marked := marked_words(text, BETWEEN)) is not None:
+            even.append(marked)
+            order.append(n)
+        elif text:
+            odd.append((n, [" " + part for part in clean_parts(text)]))
+    cut = pc.split_pattern(pa.array(even, pa.large_string()), BETWEEN)
+    rest = pa.array([part for _, parts in odd for part in parts], pa.large_string())
+    parts, which = different(pa.concat_arrays([cut.flatten(), rest]))
+    sizes = np.concatenate((np.diff(cut.offsets.to_numpy()), np.array([len(own) for _, own in odd], np.int64)))
+    order = np.array([*order, *[n for n, _ in odd]], np.int64)
+    if odd:  # back to the order of the texts
+        starts, back = np.cumsum(sizes) - sizes, np.argsort(order)
+        order, sizes = order[back], sizes[back]
+        which = which[np.repeat(starts[back] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    return parts, which, np.repeat(order, sizes)
+
+
 class BlockAligner:
     def __init__(self, path_a: str, path_b: str, digests: bool):
         self.tokenizers, self.digests = TwoTokenizers(path_a, path_b), digests
@@ -276,11 +307,8 @@ class BlockAligner:
         self.spell = Speller(max(len(self.tokenizers.bytes_a), self.width))
 
     def __call__(self, number: int, docs: list[tuple[int | None, str]]) -> pa.RecordBatch:
-        parts = Parts()
-        for _, text in docs:
-            parts.add(clean_parts(text) if text else [])
-        a, b, place, good = self.tokenizers.encode(parts.different())
-        which, owner = parts.places()
+        parts, which, owner = spaced_parts([text for _, text in docs])
+        a, b, place, good = self.tokenizers.encode(parts)
         which = place[which]
         bad = np.zeros(len(docs), bool)
         bad[owner[~good[which]]] = True
@@ -310,7 +338,7 @@ class BlockAligner:
             [w.decode() for w in written_out], np.bincount(of, minlength=n_docs), packed(places), packed(times),
             different, holding,
         ]
-        arrays = [pa.array([v.tolist() if isinstance(v, np.ndarray) else v], f.type) for v, f in zip(row, BLOCKS)]
+        arrays = [pa.array([v], f.type) for v, f in zip(row, BLOCKS)]
         return pa.RecordBatch.from_arrays(arrays, schema=BLOCKS)
 
 
